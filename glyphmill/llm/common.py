@@ -131,3 +131,34 @@ def merged_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.nda
     first = np.concatenate(([True], start[1:] > end[:-1]))
     last = np.concatenate((first[1:], [True]))
     return start[first], end[last]
+
+
+#: Word bytes of the lower-cased class [^\x00-\x2F\x3A-\x60\x7B-\x7F]: digits, ASCII letters, all of other scripts.
+ALNUM = np.zeros(256, bool)
+ALNUM[48:58] = ALNUM[65:91] = ALNUM[97:123] = ALNUM[128:] = True
+#: Word bytes of [^\x20\x09-\x0D].
+NON_SPACE = np.ones(256, bool)
+NON_SPACE[[32, 9, 10, 11, 12, 13]] = False
+LOWER = np.arange(256, dtype=np.uint8)
+LOWER[65:91] += 32
+
+
+def words_of(data: np.ndarray, offsets: np.ndarray, kind: np.ndarray = ALNUM) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """start, end and text number of every word (run of bytes of the kind) of texts laid end to end."""
+    inside = np.zeros(len(data) + 2, np.int8)
+    inside[1:-1] = kind[data]
+    step = np.diff(inside)
+    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
+    # A run that goes on over the end of a text is cut there.
+    cuts = offsets[1:-1]
+    cuts = np.unique(cuts[(cuts > 0) & (cuts < len(data))])
+    cuts = cuts[(inside[cuts] == 1) & (inside[cuts + 1] == 1)]
+    if len(cuts):
+        start, end = np.sort(np.concatenate((start, cuts))), np.sort(np.concatenate((end, cuts)))
+    return start, end, np.searchsorted(offsets, start, "right") - 1
+
+
+def lists(values: pa.Array, owner: np.ndarray, n: int) -> pa.Array:
+    """An Arrow list for each of n rows; owner (ascending): the row of each value."""
+    bounds = np.searchsorted(owner, np.arange(n + 1)).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(bounds), values)

@@ -18,6 +18,27 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", S.record_size(F.col("row.text")).alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", S.shard_of(F.col("doc_id"), S.SHARDS + 1).alias("grown_shard"))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import toxicity as T
+
+    scored = T.score(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", T.held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("spans").cast("bigint").alias("n_spans"))
+
+
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import decontamination as D
+
+    return D.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
+
+
+def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    from . import packing as P
+
+    return P.tokenise(_read(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 def op9_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import mixing as M
 
@@ -30,6 +51,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op9_source_mixing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op3_toxicity, op4_decontamination, op8_token_ids, op9_source_mixing, op10_quality_rules)}
 
 ORACLE_SQL = {}

@@ -18,15 +18,17 @@ import math
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import packed, shared_dir
+from .common import materialise, packed, shared_dir
 
 SHARDS = 24
 SEED = 11
 BUCKET_BYTES = 16 << 20
+#: Rows of the table of buckets that may be broadcast (20 bytes each).
+BROADCAST_ROWS = 100_000
 
 
 def key_hash(doc_id: Column, seed: int) -> Column:
@@ -64,33 +66,32 @@ def shuffled(seed: int):
     return run
 
 
-def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """Write docs to path/shard=K/bucket=B/*.parquet, each bucket in its shuffled order (column place); returns the
-    table of buckets: shard, bucket, rows, offset of the bucket's first slot in its shard."""
-    spark = docs.sparkSession
-    rows = packed(docs).withColumns({"doc_id": F.col("row.doc_id"), "size": record_size(F.col("row.text")), "crc": F.crc32(F.coalesce(F.col("row.text"), F.lit("")).cast("binary"))})
+def write_shards(docs: DataFrame, path: str, shards: int = SHARDS, seed: int = SEED) -> T.StructType:
+    """Write docs to path/shard=K/bucket=B/*.parquet, each bucket in its shuffled order (column place); the files' schema."""
+    text = F.col("row.text")
+    rows = packed(docs).select("row", F.col("row.doc_id").alias("doc_id"), F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("crc"))
     total = docs.select(F.sum(record_size(docs["text"])).alias("b")).first()["b"] or 0
     per_shard = max(1, math.ceil(total / shards / BUCKET_BYTES))
-    rows = rows.withColumns({"shard": shard_of(F.col("doc_id"), shards, seed), "bucket": F.pmod(key_hash(F.col("doc_id"), seed), F.lit(per_shard)).cast("int")})
+    rows = rows.withColumns({"shard": shard_of(F.col("doc_id"), shards, seed), "bucket": F.pmod(F.xxhash64(F.lit(seed), "doc_id", "crc"), F.lit(per_shard)).cast("int")})
     out = T.StructType([*rows.schema.fields, T.StructField("place", T.LongType())])
-    # One shuffle; groups of one bucket are bounded by BUCKET_BYTES on average, for doc_ids spread over buckets.
+    # The one shuffle of whole rows; a bucket is some BUCKET_BYTES.
     rows.groupBy("shard", "bucket").applyInArrow(shuffled(seed), out).write.partitionBy("shard", "bucket").parquet(path)
-    return spark
+    return out
 
 
-def read_shards(spark, path: str) -> DataFrame:
-    """The written records with their shard and gapless slot."""
-    from pyspark.sql import Window
-
-    files = spark.read.parquet(path)
-    counts = files.groupBy("shard", "bucket").agg(F.count("*").alias("rows"))
+def read_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The written records with their shard and gapless slot: row, doc_id, crc, shard, slot."""
+    files = spark.read.schema(schema).parquet(path)
+    counts = materialise(files.groupBy("shard", "bucket").agg(F.count("*").alias("rows")))
     before = Window.partitionBy("shard").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.withColumn("offset", F.coalesce(F.sum("rows").over(before), F.lit(0)).cast("bigint"))
-    return files.join(offsets.select("shard", "bucket", "offset"), ["shard", "bucket"]).withColumn("slot", F.col("offset") + F.col("place"))
+    offsets = counts.select("shard", "bucket", F.coalesce(F.sum("rows").over(before), F.lit(0)).cast("bigint").alias("offset"))
+    if counts.count() <= BROADCAST_ROWS:
+        offsets = F.broadcast(offsets)
+    return files.join(offsets, ["shard", "bucket"]).withColumn("slot", F.col("offset") + F.col("place")).drop("place", "offset")
 
 
 def shard(docs: DataFrame, shards: int = SHARDS, seed: int = SEED) -> DataFrame:
-    """Write the shards in the shared folder and return what the files hold: row, shard, slot, doc_id, size, crc."""
+    """Write the shards in the shared folder and return what the files hold."""
     path = shared_dir(docs.sparkSession)
-    write_shards(docs, path, shards, seed)
-    return read_shards(docs.sparkSession, path)
+    schema = write_shards(docs, path, shards, seed)
+    return read_shards(docs.sparkSession, path, schema)
