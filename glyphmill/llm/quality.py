@@ -119,4 +119,5 @@ def quality_filter(docs: DataFrame) -> DataFrame:
     sketches, a second one judges."""
     named = lambda s: s.withColumns({"lang": F.col("row.lang"), "source": F.col("row.source")})
     limits = fences(named(statistics(docs, repeats=False)).drop("row"))
-    return judged(named(statistics(docs)), limits).filter("kept").select("row.*")
+    # inline, not filter: a filter would be pushed below the statistics, with their expressions copied many times over.
+    return judged(named(statistics(docs)), limits).select(F.inline(F.when(F.col("kept"), F.array("row"))))

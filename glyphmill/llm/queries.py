@@ -18,6 +18,12 @@ def op1_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", S.record_size(F.col("row.text")).alias("size"), F.crc32(text).alias("text_crc32"), F.lit("key").alias("law"), "shard", "slot", S.shard_of(F.col("doc_id"), S.SHARDS + 1).alias("grown_shard"))
 
 
+def op2_substring_removal(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import substrings as S
+
+    return S.report(_read(spark, sf_dir, "documents")).select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("bigint").alias("n_spans"), "kept_sha256")
+
+
 def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import toxicity as T
 
@@ -51,6 +57,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op3_toxicity, op4_decontamination, op8_token_ids, op9_source_mixing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_substring_removal, op3_toxicity, op4_decontamination, op8_token_ids, op9_source_mixing, op10_quality_rules)}
 
 ORACLE_SQL = {}
