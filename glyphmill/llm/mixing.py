@@ -25,7 +25,7 @@ WEIGHTS = (5, 2, 1)
 MAX_EPOCHS = 3
 SEED = 20
 #: Rows of one source in a bucket, on average.
-BUCKET_ROWS = 20_000
+BUCKET_ROWS = 2_000
 #: Rows of the source table that may be broadcast (under 100 bytes each).
 BROADCAST_ROWS = 50_000
 WORD = r"[^\x20\x09-\x0D]+"
