@@ -37,6 +37,12 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import jaccard as J
+
+    return J.classes(_read(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op8_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -57,6 +63,6 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_substring_removal, op3_toxicity, op4_decontamination, op8_token_ids, op9_source_mixing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_substring_removal, op3_toxicity, op4_decontamination, op7_jaccard_join, op8_token_ids, op9_source_mixing, op10_quality_rules)}
 
 ORACLE_SQL = {}
