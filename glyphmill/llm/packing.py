@@ -16,6 +16,8 @@ null doc_ids come first; an empty table writes no file; extra columns are ignore
 from __future__ import annotations
 
 import math
+import os
+import uuid
 import zlib
 
 import numpy as np
@@ -30,9 +32,11 @@ MAGIC = b"GLYPHTOK"
 VERSION = 1
 END_ID = 2
 BLOCK_IDS = 4096
-FILE_BYTES = 24 << 20
+FILE_BYTES = 16 << 20
 #: Pieces whose ids a worker remembers; beyond it the memory starts anew.
-CACHE = 400_000
+CACHE = 300_000
+#: Pieces given to the tokenizer at once.
+AT_ONCE = 2048
 
 
 def bits_for(vocabulary: int) -> int:
@@ -89,8 +93,9 @@ class Encoder:
         new = [k for k, i in enumerate(at) if not i]
         if new:
             raw = data.tobytes()
-            found = self.tokenizer.encode_batch([raw[start[first[k]] : end[first[k]]].decode("utf-8", "replace") for k in new], add_special_tokens=False)
-            ids = [x.ids for x in found]
+            ids = []
+            for i in range(0, len(new), AT_ONCE):  # the library's results are large
+                ids += [x.ids for x in self.tokenizer.encode_batch_fast([raw[start[first[k]] : end[first[k]]].decode("utf-8", "replace") for k in new[i : i + AT_ONCE]], add_special_tokens=False)]
             base = len(self.bounds) - 1
             self.flat = np.concatenate((self.flat, np.array([i for x in ids for i in x], np.uint32)))
             self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum([len(x) for x in ids])))
@@ -153,9 +158,10 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> DataFrame:
     ordered = texts.withColumn("tie", F.xxhash64("text")).repartitionByRange(files, "doc_id", "tie").sortWithinPartitions("doc_id", "tie").withColumn("file", F.spark_partition_id())
 
     def run(batches):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
         encoder, doc_ids, counts, ids, number = Encoder(tokenizer), [], [], [], None
         for batch in batches:
-            for part in slices(batch, 1):
+            for part in slices(batch, 1, 1 << 20):
                 i, n = encoder.encode(part.column(1))
                 doc_ids.append(part.column(0))
                 counts.append(n)
@@ -167,8 +173,6 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> DataFrame:
         fs, folder = pyarrow.fs.FileSystem.from_uri(path)
         fs.create_dir(folder, recursive=True)
         name = f"part-{number:08d}.glyphtok"
-        import uuid
-
         trial = f"{folder}/_{name}.{uuid.uuid4().hex}"  # an attempt's own file; the whole file is then moved in place
         with fs.open_output_stream(trial) as out:
             for piece in file_bytes(pa.concat_arrays(doc_ids), counts, ids, encoder.bits):
