@@ -26,7 +26,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NON_SPACE, RangeHash, expand, materialise, shared_dir, slices, text_bytes, words_of
+from .common import LOWER, NON_SPACE, RangeHash, expand, materialise, shared_dir, slices, text_bytes, words_of
 
 MAGIC = b"GLYPHTOK"
 VERSION = 1
@@ -34,7 +34,7 @@ END_ID = 2
 BLOCK_IDS = 4096
 FILE_BYTES = 16 << 20
 #: Pieces whose ids a worker remembers; beyond it the memory starts anew.
-CACHE = 300_000
+CACHE = 500_000
 #: Pieces given to the tokenizer at once.
 AT_ONCE = 2048
 
@@ -68,24 +68,69 @@ def unpack(words: np.ndarray, bits: int) -> np.ndarray:
     return ids.ravel()
 
 
+#: A pre-tokenizer pattern (fixed value) under which an ASCII letter and ASCII punctuation other than ' never share a
+#: piece, and a run of ASCII letters is one piece. Texts of such tokenizers are cut there too, so pieces repeat more.
+LETTERS_APART = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def _bytes(chars: str) -> np.ndarray:
+    kind = np.zeros(256, bool)
+    kind[list(chars.encode())] = True
+    return kind
+
+
+_KIND = np.zeros(256, np.int8)
+_KIND[_bytes("abcdefghijklmnopqrstuvwxyz")] = 1
+_KIND[_bytes("!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = 2  # without ' and the characters of special tokens
+
+
 class Encoder:
     """Ids of texts by a tokenizer that never joins pieces over white space: each piece is encoded once and remembered."""
 
     def __init__(self, path: str):
+        import json
+
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.bits = bits_for(self.tokenizer.get_vocab_size(with_added_tokens=True))
+        with open(path, encoding="utf-8") as f:
+            made = json.load(f)
+        text = json.dumps([made.get("normalizer"), made.get("pre_tokenizer")])
+        self.apart = json.dumps(LETTERS_APART) in text and '"type": "Lowercase"' in text and '"use_regex": false' in text
         self.clear()
 
     def clear(self):
         self.known: dict[int, int] = {}
         self.flat, self.bounds = np.array([END_ID], np.uint32), np.array([0, 1], np.int64)
 
+    def _new(self, pieces: list[str]) -> list[list[int]]:
+        plain = [self.apart and p.isascii() and p.isalpha() for p in pieces]
+        rest = [p for p, x in zip(pieces, plain) if not x]
+        found = []
+        for i in range(0, len(rest), AT_ONCE):  # the library's results are large
+            found += [x.ids for x in self.tokenizer.encode_batch_fast(rest[i : i + AT_ONCE], add_special_tokens=False)]
+        others, model = iter(found), self.tokenizer.model
+        # Lower-case letters of one piece need no normaliser and no pre-tokenizer.
+        return [[t.id for t in model.tokenize(p)] if x else next(others) for p, x in zip(pieces, plain)]
+
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text); the end id closes each text."""
         data, offsets = text_bytes(texts)
-        start, end, doc = words_of(data, offsets, NON_SPACE)
+        solid = NON_SPACE[data]
+        begin = solid.copy()
+        begin[1:] &= ~solid[:-1]
+        begin[offsets[:-1][offsets[:-1] < len(data)]] |= solid[offsets[:-1][offsets[:-1] < len(data)]]
+        if self.apart:
+            data = LOWER[data]
+            kind = _KIND[data]  # 1 letter, 2 mark
+            begin[1:] |= (kind[1:] + kind[:-1] == 3) & (kind[1:] > 0) & (kind[:-1] > 0)
+        start = np.flatnonzero(begin)
+        over = ~solid
+        over[begin] = True
+        stop = np.append(np.flatnonzero(over), len(data))
+        end = stop[np.searchsorted(stop, start, "right")]
+        doc = np.searchsorted(offsets, start, "right") - 1
         names, first, piece = np.unique(RangeHash(data)(start, end), return_index=True, return_inverse=True)
         if len(self.known) > CACHE:
             self.clear()
@@ -93,21 +138,29 @@ class Encoder:
         new = [k for k, i in enumerate(at) if not i]
         if new:
             raw = data.tobytes()
-            ids = []
-            for i in range(0, len(new), AT_ONCE):  # the library's results are large
-                ids += [x.ids for x in self.tokenizer.encode_batch_fast([raw[start[first[k]] : end[first[k]]].decode("utf-8", "replace") for k in new[i : i + AT_ONCE]], add_special_tokens=False)]
+            ids = self._new([raw[start[first[k]] : end[first[k]]].decode("utf-8", "replace") for k in new])
             base = len(self.bounds) - 1
             self.flat = np.concatenate((self.flat, np.array([i for x in ids for i in x], np.uint32)))
             self.bounds = np.concatenate((self.bounds, self.bounds[-1] + np.cumsum([len(x) for x in ids])))
             for j, k in enumerate(new):
                 at[k] = self.known[int(names[k])] = base + j
         pieces = np.array(at, np.int64)[piece] if len(piece) else np.zeros(0, np.int64)
-        pieces = np.insert(pieces, np.searchsorted(doc, np.arange(len(texts)), "right"), 0)
-        owner = np.insert(doc, np.searchsorted(doc, np.arange(len(texts)), "right"), np.arange(len(texts)))
+        ends = np.searchsorted(doc, np.arange(len(texts)), "right")
+        pieces, owner = np.insert(pieces, ends, 0), np.insert(doc, ends, np.arange(len(texts)))
         length = self.bounds[pieces + 1] - self.bounds[pieces]
         return self.flat[expand(self.bounds[pieces], length)], np.bincount(owner, weights=length, minlength=len(texts)).astype(np.int64)
 
 
+_ENCODERS: dict[str, Encoder] = {}
+
+
+def encoder_of(path: str) -> Encoder:
+    """This worker's encoder; later tasks find its pieces known."""
+    if path not in _ENCODERS:
+        _ENCODERS[path] = Encoder(path)
+    return _ENCODERS[path]
+
+
 def file_bytes(doc_ids: pa.Array, counts: np.ndarray, ids: list[np.ndarray], bits: int) -> list[bytes]:
     total = int(counts.sum())
     blocks = -(-total // BLOCK_IDS)
@@ -159,7 +212,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> DataFrame:
 
     def run(batches):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core
-        encoder, doc_ids, counts, ids, number = Encoder(tokenizer), [], [], [], None
+        encoder, doc_ids, counts, ids, number = encoder_of(tokenizer), [], [], [], None
         for batch in batches:
             for part in slices(batch, 1, 1 << 20):
                 i, n = encoder.encode(part.column(1))
