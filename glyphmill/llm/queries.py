@@ -37,6 +37,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return D.report(_read(spark, sf_dir, "documents"), _read(spark, sf_dir, "benchmark"))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import units as U
+
+    done = U.deduplicate(_read(spark, sf_dir, "documents"))
+    removed = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
+    return done.select("doc_id", "n_lines", "n_removed", removed.alias("removed"), "kept_sha256")
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import jaccard as J
 
@@ -63,6 +71,23 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_substring_removal, op3_toxicity, op4_decontamination, op7_jaccard_join, op8_token_ids, op9_source_mixing, op10_quality_rules)}
-
-ORACLE_SQL = {}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_substring_removal, op3_toxicity, op4_decontamination, op5_line_dedup, op7_jaccard_join, op8_token_ids, op9_source_mixing, op10_quality_rules)}
+
+ORACLE_SQL = {
+    "op5_line_dedup": r"""
+        WITH lines AS (
+            SELECT doc_id, i, string_split(text, chr(10))[i] AS line
+            FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text <> '')
+        ), placed AS (
+            SELECT doc_id, i, line, coalesce(sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
+                   regexp_extract_all(line, '[^ \t-\r]+') AS words
+            FROM lines
+        ), ranked AS (
+            SELECT *, len(words) >= 8 AND row_number() OVER (PARTITION BY len(words) >= 8, translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ORDER BY doc_id, i) > 1 AS gone
+            FROM placed
+        )
+        SELECT d.doc_id, count(i)::BIGINT AS n_lines, count(i) FILTER (gone)::BIGINT AS n_removed,
+               coalesce(string_agg(start || '-' || (start + strlen(line)), ',' ORDER BY i) FILTER (gone), '') AS removed,
+               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+        FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id GROUP BY d.doc_id""",
+}
