@@ -45,6 +45,12 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return done.select("doc_id", "n_lines", "n_removed", removed.alias("removed"), "kept_sha256")
 
 
+def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from . import html as H
+
+    return H.extract(_read(spark, sf_dir, "pages"))
+
+
 def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from . import jaccard as J
 
@@ -71,7 +77,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return Q.quality_report(_read(spark, sf_dir, "documents")).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
-QUERIES = {f.__name__: f for f in (op1_sharding, op2_substring_removal, op3_toxicity, op4_decontamination, op5_line_dedup, op7_jaccard_join, op8_token_ids, op9_source_mixing, op10_quality_rules)}
+QUERIES = {f.__name__: f for f in (op1_sharding, op2_substring_removal, op3_toxicity, op4_decontamination, op5_line_dedup, op6_html_extraction, op7_jaccard_join, op8_token_ids, op9_source_mixing, op10_quality_rules)}
 
 ORACLE_SQL = {
     "op5_line_dedup": r"""
