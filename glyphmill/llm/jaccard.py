@@ -337,10 +337,10 @@ def deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT
 
     from .common import packed
 
-    who = F.struct(F.coalesce("doc_id", F.lit(np.iinfo(np.int64).max.item())).alias("id"), F.col("doc_id").isNull().alias("none"))
+    who = F.struct(F.coalesce("doc_id", F.lit(np.iinfo(np.int64).max)).alias("id"), F.col("doc_id").isNull().alias("none"))
     made = classes(docs, shingle, percent)
     # Rows of one doc_id (repeats) stay or go together, but for one that stays.
     stay = made.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct().select(who.alias("who"))
-    rows = packed(docs).withColumn("who", F.struct(F.coalesce("row.doc_id", F.lit(np.iinfo(np.int64).max.item())).alias("id"), F.col("row.doc_id").isNull().alias("none")))
+    rows = packed(docs).withColumn("who", F.struct(F.coalesce("row.doc_id", F.lit(np.iinfo(np.int64).max)).alias("id"), F.col("row.doc_id").isNull().alias("none")))
     one = Window.partitionBy("who").orderBy(F.xxhash64("row.text"))
     return rows.join(stay, "who", "left_semi").withColumn("turn", F.row_number().over(one)).filter("turn = 1").select("row.*")

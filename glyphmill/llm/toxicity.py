@@ -24,14 +24,16 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, RangeHash, slices, text_bytes, words_of
 
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1200, 2400, 12 << 20
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 2000, 4000, 16 << 20
 #: A mark stands in at least so many training documents that nothing else explains ...
 SUPPORT = 3
 #: ... and is so many times as frequent in toxic documents as in clean ones.
 LIFT = 20.0
 BEGINNINGS = (3, 4, 5, 6, 8)
 BITS = 20
-CHUNK, BLOCK, STEPS = 32, 64, 60
+CHUNK, BLOCK, STEPS = 32, 64, 40
+#: Chunks of CHUNK words on which the CRF is trained, drawn from the training documents.
+TOXIC_CHUNKS, CLEAN_CHUNKS = 1500, 2500
 SEED = 5
 
 def features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
@@ -48,7 +50,7 @@ def features(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray
 def _product(a, b):
     """Products of 2 x 2 matrices as (n, 4), each scaled by its sum."""
     c = np.stack((a[:, 0] * b[:, 0] + a[:, 1] * b[:, 2], a[:, 0] * b[:, 1] + a[:, 1] * b[:, 3], a[:, 2] * b[:, 0] + a[:, 3] * b[:, 2], a[:, 2] * b[:, 1] + a[:, 3] * b[:, 3]), 1)
-    return c / c.sum(1, keepdims=True)
+    return c / (c[:, :1] + c[:, 1:2] + c[:, 2:3] + c[:, 3:])
 
 
 def marginals(unary: np.ndarray, trans: np.ndarray, lengths: np.ndarray) -> np.ndarray:
@@ -89,16 +91,16 @@ def marginals(unary: np.ndarray, trans: np.ndarray, lengths: np.ndarray) -> np.n
     for t in range(BLOCK):
         m = step(t)
         f = np.stack((f[:, 0] * m[:, 0] + f[:, 1] * m[:, 2], f[:, 0] * m[:, 1] + f[:, 1] * m[:, 3]), 1)
-        f /= f.sum(1, keepdims=True)
+        f /= f[:, :1] + f[:, 1:]
         alpha[:, t] = f
     out = np.empty((n, BLOCK))
     b = backward
     for t in range(BLOCK - 1, -1, -1):
         both = alpha[:, t] * b
-        out[:, t] = both[:, 1] / both.sum(1)
+        out[:, t] = both[:, 1] / (both[:, 0] + both[:, 1])
         m = step(t)
         b = np.stack((m[:, 0] * b[:, 0] + m[:, 1] * b[:, 1], m[:, 2] * b[:, 0] + m[:, 3] * b[:, 1]), 1)
-        b /= b.sum(1, keepdims=True)
+        b /= b[:, :1] + b[:, 1:]
     return out[row, col]
 
 
@@ -142,7 +144,9 @@ def train(texts: pa.Array, toxic: np.ndarray) -> dict:
     _, chunk = np.unique(doc.astype(np.int64) * (1 << 32) + place // CHUNK, return_inverse=True)
     hit = np.bincount(chunk, weights=y) > 0
     random = np.random.default_rng(SEED)
-    use = hit | (random.random(len(hit)) < min(1.0, 4 * max(500, hit.sum()) / max(1, len(hit))))
+    use = np.zeros(len(hit), bool)
+    for kind, most in ((hit, TOXIC_CHUNKS), (~hit, CLEAN_CHUNKS)):
+        use[random.permutation(np.flatnonzero(kind))[:most]] = True
     rows = np.flatnonzero(use[chunk])
     _, r = np.unique(chunk[rows], return_inverse=True)
     n, c = int(r.max()) + 1 if len(r) else 0, place[rows] % CHUNK
@@ -182,17 +186,18 @@ def _expectations(u: np.ndarray, trans: np.ndarray, real: np.ndarray) -> tuple[n
         f = alpha[:, t] @ e
         f[:, 1] *= v[:, t]
         f = np.where(real[:, t, None], f, alpha[:, t])
-        alpha[:, t + 1] = f / f.sum(1, keepdims=True)
+        alpha[:, t + 1] = f / (f[:, :1] + f[:, 1:])
     pair = np.zeros((2, 2))
     for t in range(length - 1, -1, -1):
         ahead = beta[:, t + 1] * np.stack((np.ones(n), v[:, t]), 1)
         joint = alpha[:, t, :, None] * e[None] * ahead[:, None, :]
-        pair += (joint / joint.sum((1, 2), keepdims=True))[real[:, t]].sum(0)
+        joint = joint.reshape(n, 4)[real[:, t]]
+        pair += (joint / (joint[:, :1] + joint[:, 1:2] + joint[:, 2:3] + joint[:, 3:])).sum(0).reshape(2, 2)
         b = ahead @ e.T
         b = np.where(real[:, t, None], b, beta[:, t + 1])
-        beta[:, t] = b / b.sum(1, keepdims=True)
+        beta[:, t] = b / (b[:, :1] + b[:, 1:])
     both = alpha[:, 1:] * beta[:, 1:]
-    return both[..., 1] / both.sum(2), pair
+    return both[..., 1] / (both[..., 0] + both[..., 1]), pair
 
 
 def summaries(unary: np.ndarray, trans: np.ndarray, doc: np.ndarray, lengths: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
