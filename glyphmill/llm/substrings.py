@@ -375,7 +375,7 @@ def resolve(key: tuple, table: pa.Table) -> pa.Table:
 
 def removal_spans(docs: DataFrame) -> DataFrame:
     """doc_id, key, text and data (array of encoded spans) of every row of docs; key tells rows of one doc_id apart."""
-    texts = docs.select("doc_id", F.crc32(F.coalesce("text", F.lit("")).cast("binary")).cast("int").alias("key"), "text")
+    texts = docs.select("doc_id", (F.crc32(F.coalesce("text", F.lit("")).cast("binary")) - (1 << 31)).cast("int").alias("key"), "text")
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(MIN_BUCKETS, math.ceil(total / BUCKET_BYTES))
     found = texts.mapInArrow(map_anchors(buckets), ROWS).groupBy("bucket").applyInArrow(match_anchors, ROWS)

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from .common import LOWER, RangeHash, slices, text_bytes, words_of
 
-TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 2000, 4000, 16 << 20
+TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1600, 3200, 12 << 20
 #: A mark stands in at least so many training documents that nothing else explains ...
 SUPPORT = 3
 #: ... and is so many times as frequent in toxic documents as in clean ones.
@@ -109,14 +109,20 @@ def token_marks(feats: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.nda
     n_tox, n_clean = max(1, int(toxic.sum())), max(1, int((~toxic).sum()))
     size = 1 << BITS
     cuts = np.searchsorted(doc, np.arange(0, len(toxic) + 100, 100))  # a hundred documents at a time, for memory
-    pairs = np.concatenate([np.unique((doc[a:b].astype(np.int64)[:, None] << BITS) | feats[a:b]) for a, b in zip(cuts, cuts[1:])])
-    pairs = pairs[(pairs & (size - 1)) > 0]
-    of, f = pairs >> BITS, pairs & (size - 1)
-    in_tox, in_clean = np.bincount(f[toxic[of]], minlength=size), np.bincount(f[~toxic[of]], minlength=size)
+
+    def pairs():
+        for a, b in zip(cuts, cuts[1:]):
+            found = np.unique((doc[a:b].astype(np.int64)[:, None] << BITS) | feats[a:b])
+            found = found[(found & (size - 1)) > 0]
+            yield (found >> BITS).astype(np.int32), (found & (size - 1)).astype(np.int32)
+
+    in_tox, in_clean = np.zeros(size, np.int32), np.zeros(size, np.int32)
+    for of, f in pairs():
+        np.add.at(in_tox, f[toxic[of]], 1)
+        np.add.at(in_clean, f[~toxic[of]], 1)
     lift = (in_tox / n_tox) / ((in_clean + 0.5) / n_clean)
     good = (in_tox >= SUPPORT) & (lift >= LIFT)
-    keep = good[f] & toxic[of]
-    of, f = of[keep], f[keep]
+    of, f = (np.concatenate(x) for x in zip(*[(of[k], f[k]) for of, f in pairs() for k in [good[f] & toxic[of]]]))
     names, f = np.unique(f, return_inverse=True)
     weight = np.log(lift[names])
     left, marks = np.ones(len(toxic), bool), []
