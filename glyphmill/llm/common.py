@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -36,6 +37,12 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner drop the shuffle files of plans that are no longer referenced (their results are written)."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder through the file system that owns it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

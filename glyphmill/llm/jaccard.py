@@ -5,8 +5,8 @@ sets are one node, so copies cost nothing more. Under any one global order of al
 share one of their first n - ceil(PERCENT n / 100) + 1 shingles. The join uses several orders: candidates must share
 such a prefix shingle under every one, and the filters are intersected before anything is verified.
 
-Orders put rare shingles first: a count sketch over all documents (fixed size, merged by adding) gives each shingle
-its class of frequency, and within a class every order has its own hash. So a passage that a third of all documents
+Orders put rare shingles first: counts over all documents give each frequent shingle its class of frequency, and within
+a class every order has its own hash. So a passage that a third of all documents
 share stands at the end of every order.
 
 Large groups of near copies would give all their pairs. Before the join, each node's first shingle under some more
@@ -29,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, NON_SPACE, RangeHash, materialise, mix64, slices, text_bytes, words_of
+from .common import LOWER, NON_SPACE, RangeHash, materialise, mix64, release, slices, text_bytes, words_of
 from .components import components
 
 SHINGLE = 4
@@ -37,7 +37,7 @@ PERCENT = 85
 ORDERS = 2
 ROUNDS = 2
 BLOCK = 256
-SKETCH_BITS = 18
+FREQUENT, MOST_FREQUENT, CHUNK = 16, 1 << 20, 1 << 20
 #: Text behind one bucket of prefix shingles.
 BUCKET_BYTES = 48 << 20
 MIN_BUCKETS = 16
@@ -83,18 +83,48 @@ def _parts(batches, text: int):
         yield from slices(batch, text)
 
 
-def sketch(docs: DataFrame, shingle: int) -> np.ndarray:
-    """Counts of all shingles of all documents by the low bits of their hash: 1 MB, however many there are."""
+def frequent(docs: DataFrame, shingle: int) -> np.ndarray:
+    """The frequent shingles and their counts, as two rows, in order of shingle.
+
+    Each task counts the shingles of its texts, some CHUNK at a time, and passes on those that it saw twice or more;
+    the sums of FREQUENT or more are kept, at most MOST_FREQUENT of them (16 MB), the highest. They only rank shingles:
+    whatever is missing here costs time, never a link.
+    """
 
     def count(batches):
-        total = np.zeros(1 << SKETCH_BITS, np.int64)
+        gathered = []
+
+        def passed():
+            names, n = np.unique(np.concatenate(gathered), return_counts=True)
+            names, n = names[n > 1], n[n > 1]
+            piece = (names % np.uint64(16)).astype(np.int64)
+            for k in range(16):
+                own = piece == k
+                if own.any():
+                    yield pa.RecordBatch.from_arrays([pa.array([k], pa.int32()), pa.array([names[own].tobytes()], pa.binary()), pa.array([n[own].astype(np.int64).tobytes()], pa.binary())], ["piece", "names", "n"])
+
         for part in _parts(batches, 0):
-            sets = document_sets(part.column(0), shingle)
-            if sets:
-                total += np.bincount((np.concatenate(sets) & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64), minlength=len(total))
-        yield from _pieces(total.astype(np.uint32))
+            gathered += document_sets(part.column(0), shingle)
+            held = sum(map(len, gathered))
+            if held > CHUNK:
+                yield from passed()
+                gathered = []
+        if gathered:
+            yield from passed()
 
-    return _merged(docs.select("text").mapInArrow(count, "piece int, data binary"), np.uint32, np.add, 1 << SKETCH_BITS)
+    def merge(key: tuple, table: pa.Table) -> pa.Table:
+        names = np.frombuffer(b"".join(table["names"].to_pylist()), np.uint64)
+        n = np.frombuffer(b"".join(table["n"].to_pylist()), np.int64)
+        names, at = np.unique(names, return_inverse=True)
+        n = np.bincount(at, weights=n).astype(np.int64)
+        top = np.flatnonzero(n >= FREQUENT)
+        top = np.sort(top[np.argsort(-n[top], kind="stable")][: MOST_FREQUENT // 16])
+        return pa.table({"names": pa.array([names[top].tobytes()], pa.binary()), "n": pa.array([n[top].tobytes()], pa.binary())})
+
+    pieces = docs.select("text").mapInArrow(count, "piece int, names binary, n binary").groupBy("piece").applyInArrow(merge, "names binary, n binary").collect()
+    names, n = np.frombuffer(b"".join(r["names"] for r in pieces), np.uint64), np.frombuffer(b"".join(r["n"] for r in pieces), np.int64)
+    order = np.argsort(names)
+    return np.stack((names[order], n[order].astype(np.uint64)))
 
 
 def _pieces(whole: np.ndarray):
@@ -116,15 +146,23 @@ def _merged(pieces: DataFrame, kind, op, size: int) -> np.ndarray:
     return np.concatenate([np.frombuffer(zlib.decompress(rows[k]), kind) for k in range(16)]) if rows else np.zeros(size, kind)
 
 
-def _ranks(s: np.ndarray, counts: np.ndarray, order: int) -> np.ndarray:
+def _classes(s: np.ndarray, often: np.ndarray) -> np.ndarray:
+    """Class of frequency of each shingle: 0, or the bits of its count."""
+    names, n = often
+    if not len(names):
+        return np.zeros(len(s), np.uint64)
+    at = np.minimum(np.searchsorted(names, s), len(names) - 1)
+    return np.where(names[at] == s, np.frexp(n[at].astype(np.float64))[1], 0).astype(np.uint64)
+
+
+def _ranks(s: np.ndarray, rare: np.ndarray, order: int) -> np.ndarray:
     """Place of each shingle in a global order: class of frequency, then the order's own hash."""
-    rare = np.frexp(counts[(s & np.uint64((1 << SKETCH_BITS) - 1)).astype(np.int64)].astype(np.float64))[1].astype(np.uint64)
     return (rare << np.uint64(56)) | (mix64(s ^ _SALT[order]) >> np.uint64(8))
 
 
-def signatures(docs: DataFrame, counts: np.ndarray, shingle: int, percent: int) -> DataFrame:
+def signatures(docs: DataFrame, often: np.ndarray, shingle: int, percent: int) -> DataFrame:
     """doc_id, node, n, first shingles (lead: array) and prefixes (p0, p1: 8 bytes a shingle) of each document."""
-    sent = docs.sparkSession.sparkContext.broadcast(counts)
+    sent = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches):
         for part in _parts(batches, 1):
@@ -133,7 +171,8 @@ def signatures(docs: DataFrame, counts: np.ndarray, shingle: int, percent: int)
                 n = len(s)
                 node.append(node_of(s) if n else None)
                 size.append(n)
-                ranks = [_ranks(s, sent.value, k) for k in range(ORDERS + ROUNDS)] if n else []
+                rare = _classes(s, sent.value)
+                ranks = [_ranks(s, rare, k) for k in range(ORDERS + ROUNDS)] if n else []
                 lead.append([int(s[np.argmin(r)].view(np.int64)) for r in ranks[ORDERS:]])
                 for k in range(ORDERS):
                     length = prefix_length(n, percent) if n else 0
@@ -312,11 +351,14 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tup
     docs = docs.select("doc_id", "text")
     total = docs.select(F.sum(F.octet_length("text"))).first()[0] or 0
     buckets = max(MIN_BUCKETS, math.ceil(total / BUCKET_BYTES))
-    signed = materialise(signatures(docs, sketch(docs, shingle), shingle, percent))
+    signed = materialise(signatures(docs, frequent(docs, shingle), shingle, percent))
     likely = materialise(components(likely_links(docs, signed, shingle, percent)))
+    release(docs.sparkSession)
     nodes = signed.filter("n > 0").dropDuplicates(["node"]).join(likely, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"), *[f"p{k}" for k in range(ORDERS)])
     pairs = nodes.mapInArrow(entries(buckets), ENTRIES).groupBy("bucket").applyInArrow(candidate_pairs(percent), "u bigint, v bigint, order int")
     pairs = materialise(pairs.distinct().groupBy("u", "v").agg(F.count("*").alias("orders")).filter(F.col("orders") == ORDERS).select("u", "v"))
+    del nodes
+    release(docs.sparkSession)
     sets = materialise(sets_of(docs, pairs.select(F.explode(F.array("u", "v")).alias("node")), shingle))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("data").alias("x")), "u").join(sets.select(F.col("node").alias("v"), F.col("data").alias("y")), "v").select("u", "v", "x", "y")
     more = both.mapInArrow(verified(percent), "u bigint, v bigint")

@@ -96,4 +96,34 @@ ORACLE_SQL = {
                coalesce(string_agg(start || '-' || (start + strlen(line)), ',' ORDER BY i) FILTER (gone), '') AS removed,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
         FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id GROUP BY d.doc_id""",
+    "op9_source_mixing": r"""
+        WITH d AS (
+            SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+'))::BIGINT AS size,
+                   -ln((('0x' || substr(md5('20|' || coalesce(doc_id::VARCHAR, 'null')), 1, 12))::BIGINT::DOUBLE + 0.5::DOUBLE) / 281474976710656.0::DOUBLE)
+                   / CASE WHEN length(coalesce(text, '')) > 0 THEN 1::DOUBLE - 0.75::DOUBLE * len(regexp_extract_all(coalesce(text, ''), '[#*$%&|<>]'))::DOUBLE / length(coalesce(text, ''))::DOUBLE ELSE 1.0::DOUBLE END AS key
+            FROM documents
+        ), s AS (SELECT source, sum(size)::BIGINT AS source_size FROM d GROUP BY source),
+        w AS (SELECT *, ([5.0::DOUBLE, 2.0::DOUBLE, 1.0::DOUBLE])[(row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 + 1] AS weight, (3 * source_size)::DOUBLE AS cap FROM s),
+        l AS (
+            SELECT *, (sum(source_size) OVER ()::DOUBLE - coalesce(sum(cap) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))
+                      / (sum(weight) OVER () - coalesce(sum(weight) OVER (ORDER BY cap / weight, source NULLS LAST ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)) AS level FROM w
+        ), t AS (SELECT source, source_size, least(cap, weight * (SELECT arg_min(level, cap / weight) FROM l WHERE level <= cap / weight)) AS target FROM l),
+        m AS (SELECT d.*, source_size, target, CASE WHEN source_size > 0 THEN floor(target / source_size) ELSE 0 END::BIGINT AS epochs,
+                     sum(size) OVER (PARTITION BY d.source ORDER BY key, doc_id, size ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - size AS before
+              FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
+        SELECT doc_id, size, source_size, round(target, 6) AS target, (epochs * size + greatest(0, least(size, round(target - epochs * source_size)::BIGINT - before)))::BIGINT AS taken FROM m""",
+    "op10_quality_rules": r"""
+        WITH w AS (SELECT doc_id, lang, source, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+') AS words,
+                          list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^ \t-\r]')) AS lines FROM documents),
+        windows AS (SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS s FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM w WHERE len(words) >= 5)),
+        twice AS (SELECT doc_id, i FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, s) AS c FROM windows) WHERE c > 1),
+        covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM twice) GROUP BY doc_id),
+        base AS (SELECT w.doc_id, lang, source, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
+                        (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN covered c ON w.doc_id = c.doc_id),
+        shares AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars END AS a, CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines END AS b, CASE WHEN n_words > 0 THEN word_chars * 100 // n_words END AS c FROM base),
+        sorted AS (SELECT lang, source, count(*) AS n, list_sort(list(a)) AS a, list_sort(list(b)) AS b, list_sort(list(c)) AS c FROM shares WHERE n_words >= 10 GROUP BY lang, source),
+        q AS (SELECT *, greatest(1, ceil(0.25 * n))::BIGINT AS q1, greatest(1, ceil(0.5 * n))::BIGINT AS q2, greatest(1, ceil(0.75 * n))::BIGINT AS q3 FROM sorted),
+        fence AS (SELECT lang, source, greatest(100, a[q2] + 6 * (a[q3] - a[q1])) AS fa, greatest(300, b[q2] + 6 * (b[q3] - b[q1])) AS fb, greatest(1500, c[q2] + 6 * (c[q3] - c[q1])) AS fc FROM q)
+        SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR coalesce(a > fa, false) OR coalesce(b > fb, false) OR coalesce(c > fc, false)) AS kept
+        FROM shares s LEFT JOIN fence f ON s.lang IS NOT DISTINCT FROM f.lang AND s.source IS NOT DISTINCT FROM f.source""",
 }

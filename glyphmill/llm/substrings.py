@@ -31,15 +31,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RangeHash, expand, materialise, merged_spans, mix64, slices, text_bytes
+from .common import RangeHash, expand, materialise, merged_spans, mix64, release, slices, text_bytes
 
 MATCH = 50
 GRAM = 24
 REACH = MATCH - GRAM
 #: Text behind one bucket of anchors; its entries take about as much memory.
-BUCKET_BYTES = 24 << 20
+BUCKET_BYTES = 16 << 20
+#: Buckets of contexts for each bucket of anchors.
+SPREAD = 8
 #: Contexts of one anchor beyond which whole strings are spread.
-HOT = 48
+HOT = 1000
 SHALLOW_WORDS = 4
 #: Bits kept of anchor hashes (with at least MIN_BUCKETS buckets, 5 bytes hold the quotient) and of context hashes.
 H_BITS, C_BITS, MIN_BUCKETS = np.uint64((1 << 45) - 1), np.uint64((1 << 40) - 1), 32
@@ -59,10 +61,11 @@ def _slide(x: np.ndarray, width: int, op) -> np.ndarray:
 
 
 def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple:
-    """Of every minimizer: place in data, text number, hash, hash of its context, first string start, number of starts.
+    """Of every minimizer: text number, hash, hash of its context, first string start, number of starts, and a byte each
+    for the REACH / 2 bytes before and after it (0: the text has none there).
 
     The context is all bytes of the strings that have this minimizer."""
-    none = (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2
+    none = (np.zeros(0, np.int64),) + (np.zeros(0, np.uint64),) * 2 + (np.zeros(0, np.int64),) * 2 + (np.zeros(0, np.uint8),) * 2
     n = len(data)
     if n < MATCH:
         return none
@@ -86,7 +89,11 @@ def anchors(data: np.ndarray, offsets: np.ndarray) -> tuple:
         count += good
     a = at - back - count + 1
     context = mix64(hashes(a, at - back + MATCH) ^ ((at - a).astype(np.uint64) * np.uint64(0x632BE59BD9B4E019)))
-    return at, doc, mix64(own) & H_BITS, context & C_BITS, a, count
+    near = np.zeros((2, len(at)), np.uint8)
+    for side, (b, e) in enumerate(((at - REACH // 2, at), (at + GRAM, at + GRAM + REACH // 2))):
+        there = (b >= offsets[doc]) & (e <= offsets[doc + 1])
+        near[side, there] = hashes(b[there], e[there]) % np.uint64(255) + np.uint64(1)
+    return doc, mix64(own) & H_BITS, context & C_BITS, a, count, near[0], near[1]
 
 
 def _five(x: np.ndarray) -> bytes:
@@ -158,7 +165,7 @@ def map_anchors(buckets: int):
                 out = Rows()
                 ids, keys = _ids(part.column(0)), np.array(part.column(1))
                 data, offsets = text_bytes(part.column(2))
-                _, doc, h, c, a, count = anchors(data, offsets)
+                doc, h, c, a, count, left, right = anchors(data, offsets)
                 if not len(a):
                     continue
                 place = a - offsets[doc]
@@ -175,7 +182,7 @@ def map_anchors(buckets: int):
                     docs, n = np.unique(doc[s], return_counts=True)
                     step = np.diff(place[s], prepend=0)
                     wide = "<i2" if abs(step).max() < 1 << 15 else "<i8"
-                    out.add(int(bucket[i]), ENTRIES, None, None, _join(_five(h[s] // np.uint64(buckets)), _five(c[s]), step.astype(wide).tobytes(), count[s].astype(np.uint8).tobytes(), np.diff(ids[docs], prepend=0).tobytes(), keys[docs].astype("<i4").tobytes(), n.astype("<u4").tobytes()))
+                    out.add(int(bucket[i]), ENTRIES, None, None, _join(_five(h[s] // np.uint64(buckets)), _five(c[s]), step.astype(wide).tobytes(), count[s].astype(np.uint8).tobytes(), left[s].tobytes(), right[s].tobytes(), np.diff(ids[docs], prepend=0).tobytes(), keys[docs].astype("<i4").tobytes(), n.astype("<u4").tobytes()))
                 yield out.batch()
 
     return run
@@ -196,9 +203,10 @@ def match_anchors(key: tuple, table: pa.Table) -> pa.Table:
         h, c = (_unfive(b"".join(p[k] for p in parts)) for k in (0, 1))
         place = np.concatenate([np.cumsum(np.frombuffer(p[2], "<i2" if len(p[2]) == 2 * len(p[3]) else "<i8").astype(np.int64)) for p in parts])
         count = np.frombuffer(b"".join(p[3] for p in parts), np.uint8).astype(np.int64)
-        ids = np.concatenate([np.cumsum(np.frombuffer(p[4], np.int64)) for p in parts])
-        keys = np.frombuffer(b"".join(p[5] for p in parts), "<i4")
-        doc = np.repeat(np.arange(len(ids)), np.frombuffer(b"".join(p[6] for p in parts), "<u4"))
+        near = [np.frombuffer(b"".join(p[k] for p in parts), np.uint8) for k in (4, 5)]
+        ids = np.concatenate([np.cumsum(np.frombuffer(p[6], np.int64)) for p in parts])
+        keys = np.frombuffer(b"".join(p[7] for p in parts), "<i4")
+        doc = np.repeat(np.arange(len(ids)), np.frombuffer(b"".join(p[8] for p in parts), "<u4"))
         order, more = settle(h, c, ids[doc])
         bucket = int(rows[0]["bucket"])
         own = order[more]
@@ -206,11 +214,19 @@ def match_anchors(key: tuple, table: pa.Table) -> pa.Table:
         left = order[~more]  # in order of (h, c): the smallest document's entries of each context
         hl, cl, il = h[left], c[left], ids[doc[left]]
         group = np.cumsum(np.concatenate(([True], hl[1:] != hl[:-1]))) - 1
-        first = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1])))
         contexts = np.bincount(group, weights=np.concatenate(([1], (hl[1:] != hl[:-1]) | (cl[1:] != cl[:-1]))))
-        unlike = np.minimum.reduceat(il, first) != np.maximum.reduceat(il, first)  # several documents
-        for kind, which in ((CONTEXTS, unlike & (contexts <= HOT)), (STRINGS, unlike & (contexts > HOT))):
-            ask = left[which[group]]
+        # A string of two contexts holds the half reach before or after the anchor too; who has neither in common with
+        # another document asks nothing.
+        shares = np.zeros(len(left), bool)
+        for side in near:
+            cells, cell = np.unique(group.astype(np.int64) * 256 + side[left], return_inverse=True)
+            low, high = np.full(len(cells), NO_ID), np.full(len(cells), -NO_ID)
+            np.minimum.at(low, cell, il)
+            np.maximum.at(high, cell, il)
+            shares |= (low < high)[cell] & (side[left] > 0)
+        many = contexts > HOT
+        for kind, which in ((CONTEXTS, shares & ~many[group]), (STRINGS, shares & many[group])):
+            ask = left[which]
             ask = ask[np.lexsort((place[ask], doc[ask]))]
             cut = np.flatnonzero(np.concatenate(([True], doc[ask][1:] != doc[ask][:-1], [True]))) if len(ask) else []
             for i, j in zip(cut[:-1], cut[1:]):
@@ -380,11 +396,12 @@ def removal_spans(docs: DataFrame) -> DataFrame:
     buckets = max(MIN_BUCKETS, math.ceil(total / BUCKET_BYTES))
     found = texts.mapInArrow(map_anchors(buckets), ROWS).groupBy("bucket").applyInArrow(match_anchors, ROWS)
     found = materialise(found)
+    release(docs.sparkSession)
     who = F.coalesce("doc_id", F.lit(NO_ID))
     keyed = texts.select(who.alias("id"), "key", "text")
     asked = found.filter(F.col("kind") != SPANS).groupBy(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key")).agg(F.collect_list(F.when(F.col("kind") == CONTEXTS, F.col("data"))).alias("ctx"), F.collect_list(F.when(F.col("kind") == STRINGS, F.col("data"))).alias("str"))
     same = (F.col("id") == F.col("r_id")) & (F.col("key") == F.col("r_key"))
-    fetched = keyed.join(asked, same).select("id", "key", "text", "ctx", "str").mapInArrow(fetch(buckets), ROWS)
+    fetched = keyed.join(asked, same).select("id", "key", "text", "ctx", "str").mapInArrow(fetch(buckets * SPREAD), ROWS)
     looked = fetched.groupBy("bucket").applyInArrow(resolve, ROWS)
     spans = found.filter(F.col("kind") == SPANS).unionByName(looked).groupBy(F.col("doc_id").alias("r_id"), F.col("key").alias("r_key")).agg(F.collect_list("data").alias("data"))
     return keyed.join(spans, same, "left").select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "key", "text", "data")
