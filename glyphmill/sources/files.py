@@ -16,8 +16,9 @@ def write_jsonl(rows: DataFrame, column: str, path: str) -> None:
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
-    """record (JSON text) of every line that isn't blank, with its place: file and line order."""
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("ord"))
+    """record (JSON text) of every line that isn't blank, with ord, its place: file, split, line."""
+    place = F.struct(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("split"), F.monotonically_increasing_id().alias("line"))
+    lines = spark.read.text(path).select("value", place.alias("ord"))
     return lines.filter(F.trim("value") != "").select(F.col("value").alias("record"), "ord")
 
 
