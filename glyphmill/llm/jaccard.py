@@ -3,7 +3,8 @@
 Two documents link when 100 * |intersection| >= PERCENT * |union| of their sets of word shingles. Documents of equal
 sets are one node, so copies cost nothing more. Under any one global order of all shingles, linked sets of n shingles
 share one of their first n - ceil(PERCENT n / 100) + 1 shingles. The join uses several orders: candidates must share
-such a prefix shingle under every one, and the filters are intersected before anything is verified.
+such a prefix shingle under every one, and the filters are intersected before anything is verified. Parity maps of the
+sets, which bound their difference from below, then rule out most pairs that are alike but not enough.
 
 Orders put rare shingles first: counts over all documents give each frequent shingle its class of frequency, and within
 a class every order has its own hash. So a passage that a third of all documents
@@ -37,7 +38,9 @@ PERCENT = 85
 ORDERS = 2
 ROUNDS = 2
 BLOCK = 256
-FREQUENT, MOST_FREQUENT, CHUNK = 16, 1 << 20, 1 << 20
+FREQUENT, MOST_FREQUENT, CHUNK = 12, 1 << 20, 1 << 22
+#: Bits of the parity map of a set.
+MAP_BITS = 2048
 #: Text behind one bucket of prefix shingles.
 BUCKET_BYTES = 48 << 20
 MIN_BUCKETS = 16
@@ -74,6 +77,24 @@ def node_of(s: np.ndarray) -> int:
     return int(mix64(mix64(s + _SALT[8]).sum(keepdims=True) + np.uint64(len(s))).view(np.int64)[0])
 
 
+def parity_map(s: np.ndarray) -> bytes:
+    """For each of MAP_BITS classes of shingles, whether the set has an odd number of them. Maps of two sets differ in
+    no more bits than the sets do in members."""
+    at = (mix64(s ^ _SALT[20]) & np.uint64(MAP_BITS - 1)).astype(np.int64)
+    return np.packbits((np.bincount(at, minlength=MAP_BITS) & 1).astype(bool)).tobytes()
+
+
+def _short(s: np.ndarray) -> bytes:
+    """Six bytes of each hash."""
+    return np.ascontiguousarray(mix64(s)).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+
+
+def _long(raw: bytes) -> np.ndarray:
+    out = np.zeros((len(raw) // 6, 8), np.uint8)
+    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
+    return out.view(np.uint64).ravel()
+
+
 def prefix_length(n: int, percent: int) -> int:
     return n + (-percent * n) // 100 + 1  # n - ceil(percent * n / 100) + 1
 
@@ -161,25 +182,26 @@ def _ranks(s: np.ndarray, rare: np.ndarray, order: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, often: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """doc_id, node, n, first shingles (lead: array) and prefixes (p0, p1: 8 bytes a shingle) of each document."""
+    """doc_id, node, n, first shingles (lead: array), parity map and prefixes (p0, p1: 6 bytes a shingle) of each document."""
     sent = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches):
         for part in _parts(batches, 1):
-            node, size, lead, prefix = [], [], [], [[] for _ in range(ORDERS)]
+            node, size, lead, maps, prefix = [], [], [], [], [[] for _ in range(ORDERS)]
             for s in document_sets(part.column(1), shingle):
                 n = len(s)
                 node.append(node_of(s) if n else None)
                 size.append(n)
+                maps.append(parity_map(s) if n else b"")
                 rare = _classes(s, sent.value)
                 ranks = [_ranks(s, rare, k) for k in range(ORDERS + ROUNDS)] if n else []
                 lead.append([int(s[np.argmin(r)].view(np.int64)) for r in ranks[ORDERS:]])
                 for k in range(ORDERS):
                     length = prefix_length(n, percent) if n else 0
-                    prefix[k].append(s[np.argpartition(ranks[k], length - 1)[:length]].tobytes() if length else b"")
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(lead, pa.list_(pa.int64())), *[pa.array(p, pa.binary()) for p in prefix]], ["doc_id", "node", "n", "lead", *[f"p{k}" for k in range(ORDERS)]])
+                    prefix[k].append(_short(s[np.argpartition(ranks[k], length - 1)[:length]]) if length else b"")
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(lead, pa.list_(pa.int64())), pa.array(maps, pa.binary()), *[pa.array(p, pa.binary()) for p in prefix]], ["doc_id", "node", "n", "lead", "map", *[f"p{k}" for k in range(ORDERS)]])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, node bigint, n bigint, lead array<bigint>, " + ", ".join(f"p{k} binary" for k in range(ORDERS)))
+    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, node bigint, n bigint, lead array<bigint>, map binary, " + ", ".join(f"p{k} binary" for k in range(ORDERS)))
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
@@ -266,9 +288,8 @@ def entries(buckets: int):
                 node, n, root = (np.array(part.column(k)) for k in (0, 1, 2))
                 for order in range(ORDERS):
                     raw = part.column(3 + order).to_pylist()
-                    token = np.frombuffer(b"".join(raw), np.uint64)
-                    owner = np.repeat(np.arange(len(raw)), [len(r) // 8 for r in raw])
-                    token = mix64(token)
+                    token = _long(b"".join(raw))
+                    owner = np.repeat(np.arange(len(raw)), [len(r) // 6 for r in raw])
                     bucket = (token % np.uint64(buckets)).astype(np.int64)
                     turn = np.argsort(bucket, kind="stable")
                     cut = np.searchsorted(bucket[turn], np.arange(buckets + 1))
@@ -278,7 +299,7 @@ def entries(buckets: int):
                             continue
                         t = turn[cut[b] : cut[b + 1]]
                         own, count = np.unique(owner[t], return_counts=True)  # t is in order of owner
-                        short = np.ascontiguousarray(token[t]).view(np.uint8).reshape(-1, 8)[:, 2:].tobytes()
+                        short = np.ascontiguousarray(token[t]).view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
                         out.append((b * ORDERS + order, short, count.astype("<u4").tobytes(), node[own].tobytes(), n[own].tobytes(), root[own].tobytes()))
                     if out:
                         yield pa.RecordBatch.from_arrays([pa.array(list(c), pa.int32() if k == 0 else pa.binary()) for k, c in enumerate(zip(*out))], ["bucket", "token", "count", "node", "n", "root"])
@@ -295,9 +316,7 @@ def candidate_pairs(percent: int):
     def run(key: tuple, table: pa.Table) -> pa.Table:
         raw = {c: b"".join(table[c].to_pylist()) for c in ("token", "count", "node", "n", "root")}
         count = np.frombuffer(raw["count"], "<u4")
-        token = np.zeros((len(raw["token"]) // 6, 8), np.uint8)
-        token[:, :6] = np.frombuffer(raw["token"], np.uint8).reshape(-1, 6)
-        token = token.view(np.uint64).ravel()
+        token = _long(raw["token"])
         doc = np.repeat(np.arange(len(count)), count)
         names, group = np.unique(token, return_inverse=True)
         root = np.frombuffer(raw["root"], np.int64)
@@ -332,6 +351,19 @@ def candidate_pairs(percent: int):
     return run
 
 
+def possible(percent: int):
+    """Pairs that their parity maps allow: sets that link differ in at most (100 - PERCENT) (n + m) / (100 + PERCENT) members."""
+
+    def run(batches):
+        for batch in batches:
+            a, b = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, MAP_BITS // 8) for k in (4, 5))
+            n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+            keep = (100 + percent) * np.bitwise_count(a ^ b).sum(1, dtype=np.int64) <= (100 - percent) * n
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["u", "v"]).filter(pa.array(keep))
+
+    return run
+
+
 def verified(percent: int):
     def run(batches):
         for batch in batches:
@@ -356,8 +388,12 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tup
     release(docs.sparkSession)
     nodes = signed.filter("n > 0").dropDuplicates(["node"]).join(likely, "node", "left").select("node", "n", F.coalesce("root", "node").alias("root"), *[f"p{k}" for k in range(ORDERS)])
     pairs = nodes.mapInArrow(entries(buckets), ENTRIES).groupBy("bucket").applyInArrow(candidate_pairs(percent), "u bigint, v bigint, order int")
-    pairs = materialise(pairs.distinct().groupBy("u", "v").agg(F.count("*").alias("orders")).filter(F.col("orders") == ORDERS).select("u", "v"))
-    del nodes
+    pairs = pairs.distinct().groupBy("u", "v").agg(F.count("*").alias("orders")).filter(F.col("orders") == ORDERS).select("u", "v")
+    maps = signed.filter("n > 0").select("node", "n", "map").dropDuplicates(["node"])
+    side = lambda x: maps.select(F.col("node").alias(x), F.col("n").alias(f"n_{x}"), F.col("map").alias(f"m_{x}"))
+    pairs = pairs.join(side("u"), "u").join(side("v"), "v").select("u", "v", "n_u", "n_v", "m_u", "m_v").mapInArrow(possible(percent), "u bigint, v bigint")
+    pairs = materialise(pairs)
+    del nodes, maps
     release(docs.sparkSession)
     sets = materialise(sets_of(docs, pairs.select(F.explode(F.array("u", "v")).alias("node")), shingle))
     both = pairs.join(sets.select(F.col("node").alias("u"), F.col("data").alias("x")), "u").join(sets.select(F.col("node").alias("v"), F.col("data").alias("y")), "v").select("u", "v", "x", "y")

@@ -97,4 +97,5 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     """The mix itself: each document as often as it is taken, whole, with its own columns."""
     mixed = mix(docs, cut_last=False, keep_rows=True, **options)
     copies = F.when(F.col("size") > 0, (F.col("taken") / F.col("size")).cast("int")).otherwise(0)
-    return mixed.withColumn("copy", F.explode(F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>")))).select("row.*")
+    each = F.when(copies > 0, F.sequence(F.lit(1), copies)).otherwise(F.array().cast("array<int>"))
+    return mixed.withColumn("copy", F.explode(each)).select("row.*")

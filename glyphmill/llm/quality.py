@@ -25,7 +25,7 @@ WINDOW = 5
 #: Upper fence: median + SPREADS * (third - first quartile), but at least the floor, so that a source whose documents
 #: are all alike (no spread) doesn't reject its slightly unusual ones. In units of 1/1000 (word_length: 1/100).
 SPREADS = 6
-FLOORS = {"symbol_share": 100, "dup_line_share": 300, "word_length": 1500}
+FLOORS = {"symbol_share": 100, "dup_line_share": 500, "word_length": 1500}
 SKETCH_ACCURACY = 10_000
 #: Threshold rows that may be broadcast (some 60 bytes each); beyond it the join shuffles.
 BROADCAST_ROWS = 50_000

@@ -123,7 +123,7 @@ ORACLE_SQL = {
         shares AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars END AS a, CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines END AS b, CASE WHEN n_words > 0 THEN word_chars * 100 // n_words END AS c FROM base),
         sorted AS (SELECT lang, source, count(*) AS n, list_sort(list(a)) AS a, list_sort(list(b)) AS b, list_sort(list(c)) AS c FROM shares WHERE n_words >= 10 GROUP BY lang, source),
         q AS (SELECT *, greatest(1, ceil(0.25 * n))::BIGINT AS q1, greatest(1, ceil(0.5 * n))::BIGINT AS q2, greatest(1, ceil(0.75 * n))::BIGINT AS q3 FROM sorted),
-        fence AS (SELECT lang, source, greatest(100, a[q2] + 6 * (a[q3] - a[q1])) AS fa, greatest(300, b[q2] + 6 * (b[q3] - b[q1])) AS fb, greatest(1500, c[q2] + 6 * (c[q3] - c[q1])) AS fc FROM q)
+        fence AS (SELECT lang, source, greatest(100, a[q2] + 6 * (a[q3] - a[q1])) AS fa, greatest(500, b[q2] + 6 * (b[q3] - b[q1])) AS fb, greatest(1500, c[q2] + 6 * (c[q3] - c[q1])) AS fc FROM q)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR coalesce(a > fa, false) OR coalesce(b > fb, false) OR coalesce(c > fc, false)) AS kept
         FROM shares s LEFT JOIN fence f ON s.lang IS NOT DISTINCT FROM f.lang AND s.source IS NOT DISTINCT FROM f.source""",
 }
