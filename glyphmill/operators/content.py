@@ -94,7 +94,6 @@ def fallback_items(rows: DataFrame, count: int) -> DataFrame:
     that is wanted next, that holds no action word and that isn't known yet. What is still missing comes from the
     library of all templates' plain sentences, in drawn order, restyled.
     """
-    attempts = 4 * count
     made = rows.select("sample_id", "seed", "category", kind_sequence(F.col("category"), F.col("seed"), count).alias("kinds"))
     flat = made.select("sample_id", "seed", "category", F.posexplode(F.flatten(F.array_repeat("kinds", 4))).alias("attempt", "kind"))
     tried = composed(flat, F.concat(F.lit("a"), F.col("attempt").cast("string")))
@@ -110,7 +109,6 @@ def fallback_items(rows: DataFrame, count: int) -> DataFrame:
     unseen = F.filter(extra, lambda e: ~known(F.col("items"), e))
     styled = F.transform(unseen, lambda e: F.struct(restyled(e["text"], e["kind"], F.col("seed"), e["i"]).alias("text"), e["translated_text"].alias("translated_text"), e["kind"].alias("kind")))
     topped = F.concat("items", F.slice(styled, F.lit(1), F.greatest(F.lit(count) - F.size("items"), F.lit(0))))
-    del attempts
     return tried.select("sample_id", "seed", "category", topped.alias("items"))
 
 
