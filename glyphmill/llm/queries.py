@@ -126,4 +126,25 @@ ORACLE_SQL = {
         fence AS (SELECT lang, source, greatest(100, a[q2] + 6 * (a[q3] - a[q1])) AS fa, greatest(500, b[q2] + 6 * (b[q3] - b[q1])) AS fb, greatest(1500, c[q2] + 6 * (c[q3] - c[q1])) AS fc FROM q)
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR coalesce(a > fa, false) OR coalesce(b > fb, false) OR coalesce(c > fc, false)) AS kept
         FROM shares s LEFT JOIN fence f ON s.lang IS NOT DISTINCT FROM f.lang AND s.source IS NOT DISTINCT FROM f.source""",
+    "op4_decontamination": r"""
+        WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+        b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+        phrases AS (SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(w[i:i + 9], ' ') AS s FROM (SELECT item_id, w, unnest(range(1, greatest(2, len(w) - 8))) AS i FROM b WHERE len(w) > 0)),
+        sizes AS (SELECT DISTINCT n FROM phrases),
+        windows AS (SELECT doc_id, n, i, array_to_string(w[i:i + n - 1], ' ') AS s FROM (SELECT doc_id, w, n, unnest(range(1, len(w) - n + 2)) AS i FROM d, sizes WHERE len(w) >= n)),
+        found AS (SELECT doc_id, i, n, item_id FROM windows JOIN phrases USING (n, s)),
+        hits AS (SELECT doc_id, count(DISTINCT j) AS n_hit FROM (SELECT doc_id, unnest(range(i, i + n)) AS j FROM found) GROUP BY doc_id),
+        items AS (SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS names FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM found) GROUP BY doc_id)
+        SELECT d.doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+        FROM d LEFT JOIN hits h ON d.doc_id = h.doc_id LEFT JOIN items i ON d.doc_id = i.doc_id""",
+    "op7_jaccard_join": r"""
+        WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^ \t-\r]+') AS w FROM documents),
+        s AS (SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS s FROM (SELECT doc_id, w, unnest(range(1, greatest(2, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
+        n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+        pairs AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id < b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM pairs JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+        edges AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+        reach(doc_id, root) AS (SELECT doc_id, doc_id FROM documents UNION SELECT e.b, r.root FROM reach r JOIN edges e ON r.doc_id = e.a),
+        least AS (SELECT doc_id, min(root) AS component_id FROM reach GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n, 0)::BIGINT AS n_shingles, component_id FROM d LEFT JOIN n ON d.doc_id = n.doc_id JOIN least l ON d.doc_id = l.doc_id""",
 }
