@@ -43,6 +43,11 @@ def release(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(target)
+
+
 def delete(spark: SparkSession, path: str) -> None:
     """Remove a folder through the file system that owns it."""
     target = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -26,7 +26,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, NON_SPACE, RangeHash, expand, materialise, shared_dir, slices, text_bytes, words_of
+from .common import LOWER, NON_SPACE, RangeHash, expand, make_folder, materialise, shared_dir, slices, text_bytes, words_of
 
 MAGIC = b"GLYPHTOK"
 VERSION = 1
@@ -205,6 +205,7 @@ class TokenFile:
 
 def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> DataFrame:
     """Write the files below path; the table of files: file (number), name, n_docs, n_tokens."""
+    make_folder(docs.sparkSession, path)
     texts = docs.select("doc_id", "text")
     total = texts.select(F.sum(F.octet_length("text"))).first()[0] or 0
     files = max(1, math.ceil(total / FILE_BYTES))
