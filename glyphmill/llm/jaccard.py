@@ -37,7 +37,9 @@ SHINGLE = 4
 PERCENT = 85
 ORDERS = 2
 ROUNDS = 2
-BLOCK = 256
+BLOCK = 2048
+#: Places of a shingle in one bucket beyond which its pairs are made from the smaller components only.
+CROWD = 64
 FREQUENT, MOST_FREQUENT, CHUNK = 12, 1 << 20, 1 << 22
 #: Bits of the parity map of a set.
 MAP_BITS = 2048
@@ -330,6 +332,25 @@ def candidate_pairs(percent: int):
         order = np.lexsort((n[doc], group))
         group, doc = group[order], doc[order]
         a, b, found = [], [], 0
+        # Crowded shingles: one component has most places; only the others' places are paired, with all that differ.
+        cut = np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1], [True]))) if len(group) else np.zeros(1, np.int64)
+        long = np.flatnonzero(np.diff(cut) > CROWD)
+        lone = np.ones(len(doc), bool)
+        for k in long.tolist():
+            own = doc[cut[k] : cut[k + 1]]
+            lone[cut[k] : cut[k + 1]] = False
+            roots, which, size = np.unique(root[own], return_inverse=True, return_counts=True)
+            rank = np.argsort(np.argsort(size, kind="stable"))[which]  # of its component, the largest last
+            for e in np.flatnonzero(which != np.argmax(size)).tolist():
+                low, high = np.minimum(n[own], n[own[e]]), np.maximum(n[own], n[own[e]])
+                mates = own[(rank > rank[e]) & (100 * low >= percent * high)]
+                a.append(np.full(len(mates), own[e]))
+                b.append(mates)
+                found += len(mates)
+            if found > 1 << 22:
+                pairs = np.unique(np.sort(np.stack((np.concatenate(a), np.concatenate(b)), 1), 1), axis=0)
+                a, b, found = [pairs[:, 0]], [pairs[:, 1]], 0
+        group, doc = group[lone], doc[lone]
         live, step = np.arange(len(doc)), 1
         while len(live):
             live = live[live + step < len(doc)]
