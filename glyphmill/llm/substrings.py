@@ -34,10 +34,12 @@ from pyspark.sql import functions as F
 from .common import RangeHash, expand, materialise, merged_spans, mix64, release, slices, text_bytes
 
 MATCH = 50
-GRAM = 24
+GRAM = 20
 REACH = MATCH - GRAM
 #: Text behind one bucket of anchors; its entries take about as much memory.
 BUCKET_BYTES = 16 << 20
+#: Text that a task handles at once.
+SLICE = 1 << 20
 #: Buckets of contexts for each bucket of anchors.
 SPREAD = 8
 #: Contexts of one anchor beyond which whole strings are spread.
@@ -161,7 +163,7 @@ def settle(h: np.ndarray, c: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, n
 def map_anchors(buckets: int):
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, SLICE):
                 out = Rows()
                 ids, keys = _ids(part.column(0)), np.array(part.column(1))
                 data, offsets = text_bytes(part.column(2))
@@ -243,7 +245,7 @@ def fetch(buckets: int):
 
     def run(batches):
         for batch in batches:
-            for part in slices(batch, 2):
+            for part in slices(batch, 2, SLICE):
                 ids, keys = _ids(part.column(0)), np.array(part.column(1))
                 data, offsets = text_bytes(part.column(2))
                 out, asked, strings = Rows(), [], []
@@ -410,7 +412,7 @@ def removal_spans(docs: DataFrame) -> DataFrame:
 def cut_texts(batches):
     """doc_id, text with its spans removed, and the spans themselves."""
     for batch in batches:
-        for part in slices(batch, 2):
+        for part in slices(batch, 2, SLICE):
             data, offsets = text_bytes(part.column(2))
             n_bytes, removed, spans, digest = [], [], [], []
             for d, raws in enumerate(part.column(3).to_pylist()):
