@@ -341,7 +341,7 @@ def candidate_pairs(percent: int):
             lone[cut[k] : cut[k + 1]] = False
             roots, which, size = np.unique(root[own], return_inverse=True, return_counts=True)
             rank = np.argsort(np.argsort(size, kind="stable"))[which]  # of its component, the largest last
-            for e in np.flatnonzero(which != np.argmax(size)).tolist():
+            for e in np.flatnonzero(rank < len(roots) - 1).tolist():
                 low, high = np.minimum(n[own], n[own[e]]), np.maximum(n[own], n[own[e]])
                 mates = own[(rank > rank[e]) & (100 * low >= percent * high)]
                 a.append(np.full(len(mates), own[e]))

@@ -193,6 +193,33 @@ def test_near_copies_edges(spark, edge, empty):
     assert jaccard.classes(empty).count() == 0 and jaccard.deduplicated(empty).count() == 0
 
 
+@pytest.mark.parametrize("crowd, sizes", [(64, [1] * 70), (64, [35, 35]), (3, [1, 1, 1, 1, 1]), (3, [1, 4, 2, 4, 1]), (3, [2, 7, 3])])
+def test_crowded_shingles(crowd, sizes, monkeypatch):
+    """One shingle that all nodes have gives every pair of different components, whichever of them tie for largest."""
+    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    root = np.repeat(np.arange(len(sizes)), sizes).astype(np.int64)
+    n = np.random.default_rng(len(root)).integers(90, 120, len(root))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(root))), pa.array(n), pa.array(root), *[pa.array([b"abcdef"] * len(root))] * jaccard.ORDERS], ["node", "n", "root", *[f"p{k}" for k in range(jaccard.ORDERS)]])
+    table = pa.Table.from_batches(list(jaccard.entries(1)([batch])))
+    got = jaccard.candidate_pairs(85)((pa.scalar(0),), table.filter(pa.compute.equal(table["bucket"], 0)))
+    want = {(i, j) for i in range(len(root)) for j in range(i + 1, len(root)) if root[i] != root[j] and 100 * min(n[i], n[j]) >= 85 * max(n[i], n[j])}
+    assert set(zip(got["u"].to_pylist(), got["v"].to_pylist())) == want and len(got) == len(want)
+
+
+def test_edited_copies(spark):
+    """Families of more than CROWD copies, each with an edit of its own."""
+    r, docs = random.Random(21), []
+    for family in range(3):
+        base = [f"f{family}w{r.randint(0, 999)}" for _ in range(120)]
+        for i in range(jaccard.CROWD + 6):
+            t = list(base)
+            t[r.randrange(len(t))] = f"own{family}x{i}"
+            docs.append((len(docs), " ".join(t)))
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    got = {x.doc_id: (x.n_shingles, x.component_id) for x in jaccard.classes(df).collect()}
+    assert got == brute_classes(docs, 4, 85)
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 140)] + [(r.randrange(60), r.randrange(60)) for _ in range(40)] + [(200, 200)]
