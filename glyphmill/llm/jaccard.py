@@ -184,7 +184,7 @@ def _ranks(s: np.ndarray, rare: np.ndarray, order: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, often: np.ndarray, shingle: int, percent: int) -> DataFrame:
-    """doc_id, node, n, first shingles (lead: array), parity map and prefixes (p0, p1: 6 bytes a shingle) of each document."""
+    """doc_id, digest (md5 of the text), node, n, first shingles (lead: array), parity map and prefixes (p0, p1: 6 bytes a shingle) of each document."""
     sent = docs.sparkSession.sparkContext.broadcast(often)
 
     def run(batches):
@@ -201,9 +201,9 @@ def signatures(docs: DataFrame, often: np.ndarray, shingle: int, percent: int) -
                 for k in range(ORDERS):
                     length = prefix_length(n, percent) if n else 0
                     prefix[k].append(_short(s[np.argpartition(ranks[k], length - 1)[:length]]) if length else b"")
-            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(lead, pa.list_(pa.int64())), pa.array(maps, pa.binary()), *[pa.array(p, pa.binary()) for p in prefix]], ["doc_id", "node", "n", "lead", "map", *[f"p{k}" for k in range(ORDERS)]])
+            yield pa.RecordBatch.from_arrays([part.column(0).cast(pa.int64()), part.column(2), pa.array(node, pa.int64()), pa.array(size, pa.int64()), pa.array(lead, pa.list_(pa.int64())), pa.array(maps, pa.binary()), *[pa.array(p, pa.binary()) for p in prefix]], ["doc_id", "digest", "node", "n", "lead", "map", *[f"p{k}" for k in range(ORDERS)]])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, node bigint, n bigint, lead array<bigint>, map binary, " + ", ".join(f"p{k} binary" for k in range(ORDERS)))
+    return docs.select("doc_id", "text", F.unhex(F.md5("text")).alias("digest")).mapInArrow(run, "doc_id bigint, digest binary, node bigint, n bigint, lead array<bigint>, map binary, " + ", ".join(f"p{k} binary" for k in range(ORDERS)))
 
 
 def sets_of(docs: DataFrame, nodes: DataFrame, shingle: int) -> DataFrame:
@@ -422,24 +422,34 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> tup
     return signed, materialise(components(more.unionByName(likely.select(F.col("node").alias("u"), F.col("root").alias("v")))))
 
 
+def _rooted(docs: DataFrame, shingle: int, percent: int) -> DataFrame:
+    """doc_id, digest, node, n and root (the component's node of smallest name) of every document."""
+    signed, roots = join(docs, shingle, percent)
+    return signed.select("doc_id", "digest", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+
+
 def classes(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
     """doc_id, node, n_shingles and component_id, the smallest doc_id reachable by links, of every document."""
-    signed, roots = join(docs, shingle, percent)
-    rooted = signed.select("doc_id", "node", "n").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = _rooted(docs, shingle, percent)
     least = rooted.filter("n > 0").groupBy(F.col("root").alias("of")).agg(F.min("doc_id").alias("least"))
     return rooted.join(least, F.col("root") == F.col("of"), "left").select("doc_id", "node", F.col("n").alias("n_shingles"), F.coalesce("least", "doc_id").alias("component_id"))
 
 
 def deduplicated(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
-    """docs without near duplicates: of each component the document of smallest doc_id stays (of equal rows, one)."""
+    """docs without near duplicates: of each component one row stays, that of smallest doc_id (nulls last), then of
+    smallest digest of its text. Rows without words are in no component: all stay, but for repeats equal in all columns."""
     from pyspark.sql import Window
 
     from .common import packed
 
-    who = F.struct(F.coalesce("doc_id", F.lit(np.iinfo(np.int64).max)).alias("id"), F.col("doc_id").isNull().alias("none"))
-    made = classes(docs, shingle, percent)
-    # Rows of one doc_id (repeats) stay or go together, but for one that stays.
-    stay = made.filter(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct().select(who.alias("who"))
-    rows = packed(docs).withColumn("who", F.struct(F.coalesce("row.doc_id", F.lit(np.iinfo(np.int64).max)).alias("id"), F.col("row.doc_id").isNull().alias("none")))
-    one = Window.partitionBy("who").orderBy(F.xxhash64("row.text"))
-    return rows.join(stay, "who", "left_semi").withColumn("turn", F.row_number().over(one)).filter("turn = 1").select("row.*")
+    who = lambda doc_id, digest: F.struct(doc_id.isNull().alias("none"), F.coalesce(doc_id.cast("bigint"), F.lit(0)).alias("id"), digest.alias("digest"))
+    made = _rooted(docs, shingle, percent).filter("n > 0")
+    stay = made.groupBy("root").agg(F.min(who(F.col("doc_id"), F.col("digest"))).alias("who")).select("who", F.lit(True).alias("least"))
+    text = F.col("row.text")
+    wordless = ~F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    whole = F.unhex(F.md5(F.to_json("row", {"ignoreNullFields": "false"})))
+    rows = packed(docs).withColumn("wordless", wordless).withColumn("who", who(F.col("row.doc_id"), F.when(F.col("wordless"), whole).otherwise(F.unhex(F.md5(text)))))
+    rows = rows.join(stay, "who", "left").filter("wordless OR least")
+    # Rows equal in doc_id and text are one.
+    one = Window.partitionBy("who").orderBy(F.to_json(F.col("row").dropFields("text")))
+    return rows.withColumn("turn", F.row_number().over(one)).filter("turn = 1").select("row.*")

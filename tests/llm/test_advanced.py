@@ -220,6 +220,24 @@ def test_edited_copies(spark):
     assert got == brute_classes(docs, 4, 85)
 
 
+def test_deduplicated_keeps_one_row_a_component(spark):
+    """Null and equal doc_ids: only rows of one component, or equal in all columns, are one."""
+    r = random.Random(31)
+    prose = lambda: [f"p{r.randint(0, 9999)}" for _ in range(60)]
+    copied, alone, same, other, second = prose(), [" ".join(prose()) for _ in range(4)], " ".join(prose()), " ".join(prose()), prose()
+    near = lambda words, k: " ".join([*words[:-1], f"end{k}"])
+    rows = [(None, t, "a") for t in alone]  # null ids, unrelated
+    rows += [(7, same, "a"), (7, other, "a")]  # an id twice, unrelated
+    rows += [(None, near(copied, 0), "a"), (5, near(copied, 1), "a"), (9, near(copied, 2), "a")]  # a component with a null id
+    rows += [(None, near(second, k), "a") for k in range(3)]  # a component of null ids only
+    rows += [(None, None, "a"), (None, None, "a"), (None, None, "b"), (None, "", "a"), (3, " \n", "a"), (3, "\t", "a"), (None, alone[0], "a")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    got = collections.Counter(tuple(x) for x in jaccard.deduplicated(docs).collect())
+    least = min((near(second, k) for k in range(3)), key=lambda t: hashlib.md5(t.encode()).digest())
+    want = [(None, t, "a") for t in alone] + [(7, same, "a"), (7, other, "a"), (5, near(copied, 1), "a"), (None, least, "a"), (None, None, "a"), (None, None, "b"), (None, "", "a"), (3, " \n", "a"), (3, "\t", "a")]
+    assert got == collections.Counter(want)
+
+
 def test_components(spark):
     r = random.Random(4)
     edges = [(i, i + 1) for i in range(100, 140)] + [(r.randrange(60), r.randrange(60)) for _ in range(40)] + [(200, 200)]
