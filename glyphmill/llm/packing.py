@@ -98,6 +98,7 @@ class Encoder:
             made = json.load(f)
         text = json.dumps([made.get("normalizer"), made.get("pre_tokenizer")])
         self.apart = json.dumps(LETTERS_APART) in text and '"type": "Lowercase"' in text and '"use_regex": false' in text
+        self.apart &= all(x["content"].startswith("<|") for x in made.get("added_tokens") or [])
         self.clear()
 
     def clear(self):
@@ -122,7 +123,7 @@ class Encoder:
         begin[1:] &= ~solid[:-1]
         begin[offsets[:-1][offsets[:-1] < len(data)]] |= solid[offsets[:-1][offsets[:-1] < len(data)]]
         if self.apart:
-            data = LOWER[data]
+            raw_data, data = data, LOWER[data]
             kind = _KIND[data]  # 1 letter, 2 mark
             begin[1:] |= (kind[1:] + kind[:-1] == 3) & (kind[1:] > 0) & (kind[:-1] > 0)
         start = np.flatnonzero(begin)
@@ -131,6 +132,10 @@ class Encoder:
         stop = np.append(np.flatnonzero(over), len(data))
         end = stop[np.searchsorted(stop, start, "right")]
         doc = np.searchsorted(offsets, start, "right") - 1
+        if self.apart and len(start):  # special tokens match the text as it stands, so pieces that may hold one do too
+            held = np.unique(np.searchsorted(start, np.flatnonzero((data[:-1] == 60) & (data[1:] == 124)), "right") - 1)
+            own = expand(start[held], end[held] - start[held])
+            data[own] = raw_data[own]
         names, first, piece = np.unique(RangeHash(data)(start, end), return_index=True, return_inverse=True)
         if len(self.known) > CACHE:
             self.clear()

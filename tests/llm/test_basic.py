@@ -226,6 +226,20 @@ def test_token_files(spark, sf, edge, which, size, monkeypatch):
     assert got == sorted(want)
 
 
+def test_special_tokens_match_raw_text(spark):
+    """Mixed case is plain text, wherever it stands; only the exact form is the special token."""
+    from tokenizers import Tokenizer
+
+    texts = ["<|ENDOFTEXT|>", "<|endoftext|>", "<|EndOfText|> and <|StartOfText|>", "A<|endoftext|>B<|ENDOFTEXT|>C", "X<|Y.Z<|startoftext|>", "<| endoftext|> <|", "It'S <|ENDOFTEXT|>'S", "plain AFTER it", "<", "<<|endoftext|>ÀB", "ÀB<|endOftext|>"]
+    plain, start, want = Tokenizer.from_file(tokenizer()), 0, []
+    for d, t in enumerate(texts):
+        ids = plain.encode(t, add_special_tokens=False).ids + [2]
+        want.append((d, start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())))
+        start += len(ids)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1)
+    assert sorted(tuple(r) for r in packing.tokenise(docs, tokenizer()).collect()) == want
+
+
 def test_token_files_empty(empty, spark):
     assert packing.tokenise(empty, tokenizer()).count() == 0
 
