@@ -7,8 +7,10 @@ from the root, for all pages of a slice at once, depth by depth; leaves with a c
 are the text. Weights and potentials are those of a conditional random field on trees, trained by gradient ascent on
 labelled pages (html_samples), whose expectations come from the same messages.
 
-Scripts, styles, titles, form fields, templates and HTML comments never become leaves. Character references are
-decoded, white space inside a block is one space, blocks are joined by two line feeds.
+Scripts, styles, titles, form fields, templates and HTML comments never become leaves. Only script, style, title and
+textarea are raw text up to their end tag; the other HIDDEN elements are read as elements and their text is left out.
+One without an end tag of its own ends with its parent or at the next block border; '/>' ends it at once. Character
+references are decoded, white space inside a block is one space, blocks are joined by two line feeds.
 
 Defined cases: null and empty pages and pages without content have empty text; broken pages (unclosed tags, a cut in
 the middle of a tag) are read as far as they go; repeated rows get equal texts; extra columns are ignored.
@@ -31,15 +33,19 @@ HASH_BITS = 14
 
 _TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)"
-    r"|<(?P<raw>script|style|template|noscript|iframe|svg|title|textarea|select|object|canvas|button)\b[^>]*+(?:>.*?(?:</(?P=raw)\s*+>|\Z)|\Z)"
+    r"|<(?P<raw>script|style|title|textarea)(?![^\s/>])(?:(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+(?:>|\Z)|[^>]*+(?:>|\Z))"
     r"|<(?P<end>/?)(?P<tag>[a-zA-Z][a-zA-Z0-9:-]*+)(?P<attr>(?:[^>\"']|\"[^\"]*+\"|'[^']*+')*+)(?:>|\Z)"
     r"|</?[a-zA-Z!?][^>]*+(?:>|\Z)|<\Z",
     re.S | re.I,
 )
+_RAW_END = {k: re.compile(rf"</{k}(?![^\s/>])[^>]*+(?:>|\Z)", re.I) for k in ("script", "style", "title", "textarea")}
 _ATTR = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _PART = re.compile(r"[a-z]+")
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 head header hgroup hr html legend li main menu nav ol p pre section summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset(["hr"])
+HIDDEN = frozenset("button canvas iframe noscript object select svg template".split())
+#: Elements other than blocks that have no end tag.
+EMPTY = frozenset("area base br col embed img input link meta param source track wbr".split())
 #: A start tag ends an open element of these, up to the given outer ones.
 ENDS = {"li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}), "th": ({"td", "th"}, {"tr", "table"})}
 
@@ -59,6 +65,30 @@ class Tree:
         return len(self.parent) - 1
 
 
+def _tags(page: str) -> tuple[list[tuple], set[int]]:
+    """(start, end, name or None, whether an end tag, attributes) of all markup in order, and which start tags of HIDDEN
+    elements have an end tag. Raw text belongs to its start tag."""
+    tags, open_, closed, at = [], {}, set(), 0
+    while m := _TOKEN.search(page, at):
+        at = m.end()
+        if m["raw"]:
+            raw = m["raw"].lower()
+            if not (open_.get("svg") and m[0].endswith("/>")):  # in SVG alone these can be empty
+                end = _RAW_END[raw].search(page, at)
+                at = end.end() if end else len(page)
+            tags.append((m.start(), at, None, False, ""))
+            continue
+        tag, attr = m["tag"] and m["tag"].lower(), m["attr"] or ""
+        if tag in HIDDEN:
+            if m["end"]:
+                if open_.get(tag):
+                    closed.add(open_[tag].pop())
+            elif not attr.endswith("/"):
+                open_.setdefault(tag, []).append(len(tags))
+        tags.append((m.start(), at, tag, bool(m["end"]), attr))
+    return tags, closed
+
+
 def parse(page: str, at_offset: list[int] | None = None) -> Tree:
     """The tree; at_offset gets, for each node, its place in the page (for labelling)."""
     tree = Tree()
@@ -77,27 +107,72 @@ def parse(page: str, at_offset: list[int] | None = None) -> Tree:
                 at_offset.append(where)
         run, links, in_link = [], 0, False
 
+    # Open elements that are no nodes, and of them the hidden ones: place, whether it has an end tag.
+    held, count, hidden = [], {}, []
+
+    def hold(tag: str):
+        held.append(tag)
+        count[tag] = count.get(tag, 0) + 1
+
+    def leave(k: int):
+        for x in held[k:]:
+            count[x] -= 1
+        del held[k:]
+        while hidden and hidden[-1][0] >= k:
+            hidden.pop()
+
+    def end_held(tag: str):
+        k = len(held) - 1
+        while held[k] != tag:
+            k -= 1
+        leave(k)
+
     last = 0
-    for m in _TOKEN.finditer(page):
-        if m.start() > last:
-            text = html.unescape(page[last : m.start()])
+    tags, closed = _tags(page)
+    for number, (start, end, tag, ends, attr) in enumerate(tags):
+        if start > last and not hidden:
+            text = html.unescape(page[last:start])
             if not run:
                 where = last
             run.append(text)
             if in_link:
                 links += len(text)
-        last = m.end()
-        tag = m["tag"]
+        last = end
         if tag is None:
             continue
-        tag = tag.lower()
+        if tag in BLOCKS:
+            while hidden and not hidden[-1][1]:
+                leave(hidden[-1][0])
+            if hidden:
+                if not ends:
+                    if tag not in VOID:
+                        hold(tag)
+                    continue
+                if count.get(tag):
+                    end_held(tag)
+                    continue
+                if all(tag != x for _, x in stack[1:]):
+                    continue
+                leave(hidden[0][0])
+        else:
+            if ends:
+                if count.get(tag):
+                    end_held(tag)
+            elif tag in HIDDEN:
+                if not attr.endswith("/"):
+                    hold(tag)
+                    hidden.append((len(held) - 1, number in closed))
+            elif tag not in EMPTY:
+                hold(tag)
+            if hidden:
+                continue
         if tag == "a":
-            in_link = not m["end"]
+            in_link = not ends
         elif tag == "br":
             run.append(" ")
         elif tag in BLOCKS:
             flush()
-            if m["end"]:
+            if ends:
                 for k in range(len(stack) - 1, 0, -1):
                     if stack[k][1] == tag:
                         del stack[k:]
@@ -116,16 +191,16 @@ def parse(page: str, at_offset: list[int] | None = None) -> Tree:
             if tag in VOID:
                 continue
             features = [f"tag:{tag}"]
-            if m["attr"]:
-                for a in _ATTR.finditer(m["attr"]):
+            if attr:
+                for a in _ATTR.finditer(attr):
                     features += [f"name:{w}" for w in _PART.findall((a[1] or a[2] or a[3] or "").lower())]
             if len(features) == 1:
                 features.append(f"plain:{tag}")
             node = tree.add(stack[-1][0], features)
             if at_offset is not None:
-                at_offset.append(m.start())
+                at_offset.append(start)
             stack.append((node, tag))
-    if last < len(page):
+    if last < len(page) and not hidden:
         if not run:
             where = last
         run.append(html.unescape(page[last:]))

@@ -337,6 +337,25 @@ def test_html_messages_against_enumeration():
     assert np.allclose(odds, np.log(sums[:, 1] / sums[:, 0]))
 
 
+@pytest.mark.parametrize("page, want", [
+    ('<p>a</p><svg width="1"/><p>b</p>', ["a", "b"]),
+    ("<p>a <object/>b</p><canvas /><p>c</p>", ["a b", "c"]),
+    ('<div><svg/>a</div><p>b</p><svg><path d="x"/><text>no</text></svg><p>c</p>', ["a", "b", "c"]),
+    ("<p>a<button>no</p><p>b</p>", ["a", "b"]),
+    ("<p>a<button>no<p>b<p>c", ["a", "b", "c"]),
+    ("<p><span>a<button>no</span> b</p><p>c</p>", ["a b", "c"]),
+    ("<noscript><article><p>a</p></article>", ["a"]),
+    ("<div><select><option>no<option>no</div><p>a</p><select><option>no</select><p>b</p>", ["a", "b"]),
+    ("<p>a <object>no<p>no</p><button>no</object> b</p><template><div>no</template><p>c</p>", ["a b", "c"]),
+    ("<div>a<iframe>no</div><p>b</p></iframe><p>c</p>", ["a", "b", "c"]),
+    ("<svg><title/><style/><g>no</g></svg><p>a</p>", ["a"]),
+    ("<title>no</title><p>a<textarea><p>no</textarea> b</p><style>no</style><script a='<'>no</script ><p>c</p><script>no<p>no", ["a b", "c"]),
+])
+def test_html_hidden_elements(page, want):
+    """Nothing but the hidden elements' own text is left out."""
+    assert [x for x in html.parse(page).text if x is not None] == want
+
+
 def test_html_query(spark, sf):
     import html as stdlib
 
