@@ -249,6 +249,29 @@ def held_out(doc_id):
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
+def _fitting(order, size: np.ndarray) -> list[int]:
+    take, held = [], 0
+    for i in order:
+        if held + size[i] <= TRAIN_BYTES:
+            take.append(i)
+            held += size[i]
+    return take
+
+
+def drawn(size: np.ndarray, toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Documents that fit in TRAIN_BYTES, in random order, and how much of each is taken: all, unless a kind of label
+    would be missing; then the shortest document of each kind comes first, with half of the room at most."""
+    order = np.random.default_rng(SEED).permutation(len(size)).tolist()
+    take, most = _fitting(order, size), size
+    if len(np.unique(toxic[take])) < len(np.unique(toxic)):
+        first = [int(k[np.argmin(size[k])]) for k in (np.flatnonzero(toxic), np.flatnonzero(~toxic)) if len(k)]
+        most = size.copy()
+        most[first] = np.minimum(size[first], TRAIN_BYTES // 2)
+        take = _fitting(first + [i for i in order if i not in first], most)
+    take = np.sort(np.array(take, np.int64))
+    return take, most[take]
+
+
 def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     """The model from labelled documents outside the held-out fold; None without both kinds of label."""
     known = labels.select(F.col("doc_id").alias("l_id"), F.col("toxic").alias("l_toxic")).filter(F.col("l_toxic").isNotNull() & F.col("l_id").isNotNull() & ~held_out(F.col("l_id"))).groupBy("l_id").agg(F.max("l_toxic").alias("l_toxic"))
@@ -258,12 +281,15 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     table = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "l_toxic").toArrow()
     table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
     size = np.array([len(x or "") for x in table["text"].to_pylist()], np.int64)
-    take = np.random.default_rng(SEED).permutation(len(size))
-    take = np.sort(take[np.cumsum(size[take]) <= TRAIN_BYTES])
-    toxic = np.array(table["l_toxic"].to_pylist(), bool)[take]
+    toxic = np.array(table["l_toxic"].to_pylist(), bool)
+    take, most = drawn(size, toxic)
+    toxic = toxic[take]
     if not toxic.any() or toxic.all():
         return None
-    return train(pa.concat_arrays(table["text"].chunks).take(pa.array(take)), toxic)
+    texts = pa.concat_arrays(table["text"].chunks).take(pa.array(take))
+    if (most < size[take]).any():
+        texts = pa.array([(x or "")[:n] for x, n in zip(texts.to_pylist(), most.tolist())], pa.string())
+    return train(texts, toxic)
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -305,6 +305,21 @@ def test_toxicity_held_out(spark, edge, empty):
     assert {r.score for r in toxicity.score(d, l.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_long_documents(spark, monkeypatch):
+    """Labelled documents beyond the training's room don't end the sample."""
+    docs, labels = toxic_corpus(300)
+    monkeypatch.setattr(toxicity, "TRAIN_BYTES", 40_000)
+    long = [(i, t * (1 + 80_000 // len(t)) if labels[i][2] else t) for i, t in docs]
+    d, l = spark.createDataFrame(long, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, quality int, toxic int")
+    assert toxicity.fit(d, l) is not None
+    for place in range(12):  # one long document, wherever the draw puts it
+        size, toxic = np.full(12, 1000), np.arange(12) % 2 == 0
+        size[place] = 50_000
+        assert toxicity.drawn(size, toxic)[0].tolist() == [i for i in range(12) if i != place]
+    take, most = toxicity.drawn(np.array([50_000, 60_000, 1000, 90_000]), np.array([True, True, False, False]))
+    assert take.tolist() == [0, 2] and most.tolist() == [20_000, 1000]
+
+
 # HTML -------------------------------------------------------------------------------------------------------------
 def expected(pieces):
     tree, y = html.labelled(pieces)
