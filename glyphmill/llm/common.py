@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
+import hashlib
 import tempfile
 import uuid
 
@@ -18,25 +20,72 @@ SLICE_BYTES = 2 << 20
 def shared_dir(spark: SparkSession) -> str:
     """A new folder name below spark.checkpoint.dir, which the driver and all executors see.
 
-    Where no checkpoint folder is set (tests, one machine) a temporary one is set.
+    Where no checkpoint folder is set, a temporary one serves a local session; on a cluster that is an error, since
+    executors can't see a folder of the driver's machine.
     """
     sc = spark.sparkContext
     base = sc.getCheckpointDir()
     if not base:
-        base = sc.getConf().get("spark.checkpoint.dir")
+        base = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="glyphmill-"))
         base = sc.getCheckpointDir()
     return f"{base.rstrip('/')}/glyphmill-{uuid.uuid4().hex}"
 
 
-def materialise(df: DataFrame) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: cuts the lineage and survives lost executors."""
+def materialise(df: DataFrame, made: list[str] | None = None) -> DataFrame:
+    """df written as Parquet in the shared folder and read again: cuts the lineage and survives lost executors.
+
+    made: gets the folder's name, for discard once nothing reads it any more."""
     path = shared_dir(df.sparkSession)
     df.write.parquet(path)
+    if made is not None:
+        made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def discard(spark: SparkSession, made: list[str]) -> None:
+    """Remove folders of intermediate tables."""
+    while made:
+        delete(spark, made.pop())
+
+
+def trim() -> None:
+    """Give a Python worker's free memory back to the system; workers live on between tasks."""
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except OSError:  # another C library
+        pass
+
+
+def trimmed(run):
+    """run (batches -> batches) that gives its memory back at the end of a task."""
+
+    def outer(batches):
+        try:
+            yield from run(batches)
+        finally:
+            trim()
+
+    return outer
+
+
+def hot_join(left: DataFrame, right: DataFrame, key: str, share: int = 1000) -> DataFrame:
+    """Inner join of left with right (one row a key; column n_left: rows of left with that key) that no key can skew.
+
+    Keys with more than 1 / share of all rows of left are fewer than share, so their rows of right are broadcast; the
+    others meet by a shuffle. right is read more than once and should be a written table."""
+    total = right.agg(F.sum("n_left")).first()[0] or 0
+    limit = max(100, total // share)
+    hot = F.broadcast(right.filter(F.col("n_left") > limit).drop("n_left"))
+    cold = right.filter(F.col("n_left") <= limit).drop("n_left")
+    names = hot.select(key)
+    return left.join(F.broadcast(names), key, "left_anti").join(cold, key).unionByName(left.join(hot, key))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner drop the shuffle files of plans that are no longer referenced (their results are written)."""
     gc.collect()
@@ -125,6 +174,28 @@ class RangeHash:
         return mix64(raw ^ ((end - start).astype(np.uint64) * _ODD))
 
 
+_LOW_BYTES = np.array([(1 << (8 * k)) - 1 for k in range(9)], np.uint64)
+#: Bytes of a word beyond which its hash is taken from a digest of the whole.
+_LONG_WORD = 256
+
+
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of byte ranges (words): eight bytes at a time, each step a mix of all bits, so that no pattern of
+    repeats collides as it would in a polynomial. The same bytes give the same hash wherever they stand."""
+    size = end - start
+    eight = np.ndarray((len(data) + 1,), "<u8", np.concatenate((data, np.zeros(8, np.uint8))), strides=(1,))
+    out = mix64(size.astype(np.uint64) * _ODD + np.uint64(0x632BE59BD9B4E019))
+    live, done = np.flatnonzero(size <= _LONG_WORD), 0
+    while len(live):
+        left = size[live] - done
+        out[live] = mix64((out[live] ^ (eight[start[live] + done] & _LOW_BYTES[np.minimum(left, 8)])) * _ODD)
+        live = live[left > 8]
+        done += 8
+    for k in np.flatnonzero(size > _LONG_WORD).tolist():
+        out[k] = int.from_bytes(hashlib.blake2b(data[start[k] : end[k]].tobytes(), digest_size=8).digest(), "little")
+    return out
+
+
 def expand(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """start[0], start[0]+1, ... for length[0] values, then the same for the next, as one array."""
     total = int(length.sum())

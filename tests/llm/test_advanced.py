@@ -177,6 +177,7 @@ def near_copies():
 @pytest.mark.parametrize("shingle, percent, block", [(4, 85, 256), (5, 80, 6), (2, 60, 256)])
 def test_near_copies(spark, shingle, percent, block, monkeypatch):
     monkeypatch.setattr(jaccard, "BLOCK", block)
+    monkeypatch.setattr(jaccard, "HOT", block)
     monkeypatch.setattr(jaccard, "FREQUENT", 4)
     docs = near_copies()
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
@@ -193,25 +194,35 @@ def test_near_copies_edges(spark, edge, empty):
     assert jaccard.classes(empty).count() == 0 and jaccard.deduplicated(empty).count() == 0
 
 
-@pytest.mark.parametrize("crowd, sizes", [(64, [1] * 70), (64, [35, 35]), (3, [1, 1, 1, 1, 1]), (3, [1, 4, 2, 4, 1]), (3, [2, 7, 3])])
-def test_crowded_shingles(crowd, sizes, monkeypatch):
+def grouped(table, column, f):
+    return pa.concat_tables([f((pa.scalar(b, table[column].type),), table.filter(pa.compute.equal(table[column], b))) for b in sorted(set(table[column].to_pylist()))])
+
+
+@pytest.mark.parametrize("hot, sizes", [(64, [1] * 70), (64, [35, 35]), (3, [1, 1, 1, 1, 1]), (3, [1, 4, 2, 4, 1]), (3, [2, 7, 3]), (4096, [1, 4, 2, 4, 1])])
+def test_crowded_shingles(hot, sizes, monkeypatch):
     """One shingle that all nodes have gives every pair of different components, whichever of them tie for largest."""
-    monkeypatch.setattr(jaccard, "CROWD", crowd)
+    monkeypatch.setattr(jaccard, "HOT", hot)
+    monkeypatch.setattr(jaccard, "PART", 7)
     root = np.repeat(np.arange(len(sizes)), sizes).astype(np.int64)
     n = np.random.default_rng(len(root)).integers(90, 120, len(root))
-    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(root))), pa.array(n), pa.array(root), *[pa.array([b"abcdef"] * len(root))] * jaccard.ORDERS], ["node", "n", "root", *[f"p{k}" for k in range(jaccard.ORDERS)]])
-    table = pa.Table.from_batches(list(jaccard.entries(1)([batch])))
-    got = jaccard.candidate_pairs(85)((pa.scalar(0),), table.filter(pa.compute.equal(table["bucket"], 0)))
+    batch = pa.RecordBatch.from_arrays([pa.array(np.arange(len(root))), pa.array(n), pa.array(root), pa.array([bytes(jaccard.MAP_BITS // 8)] * len(root)), *[pa.array([b"abcdef"] * len(root))] * jaccard.ORDERS], ["node", "n", "root", "map", *[f"p{k}" for k in range(jaccard.ORDERS)]])
+    parts = pa.Table.from_batches(list(jaccard.part_rows([batch])))
+    asked = parts.select(["part", "root", *[f"{c}{k}" for c in "cp" for k in range(jaccard.ORDERS)]])
+    heard = grouped(pa.Table.from_batches(list(jaccard.asks(5)(asked.to_batches()))), "bucket", jaccard.answers).to_pylist()
+    heard = [[{c: x[c] for c in ("bucket", "token", "n")} for x in heard if x["part"] == p] for p in parts["part"].to_pylist()]
+    rows = pa.Table.from_batches(list(jaccard.entries(5)(parts.append_column("heard", pa.array(heard)).to_batches())))
+    got = grouped(rows, "bucket", jaccard.candidate_pairs(85))
     want = {(i, j) for i in range(len(root)) for j in range(i + 1, len(root)) if root[i] != root[j] and 100 * min(n[i], n[j]) >= 85 * max(n[i], n[j])}
-    assert set(zip(got["u"].to_pylist(), got["v"].to_pylist())) == want and len(got) == len(want)
+    assert set(zip(got["u"].to_pylist(), got["v"].to_pylist())) == want
+    assert not len(rows) or (len(set(rows["bucket"].to_pylist())) > 1) == (len(root) > hot)
 
 
 def test_edited_copies(spark):
-    """Families of more than CROWD copies, each with an edit of its own."""
+    """Families of copies, each with an edit of its own."""
     r, docs = random.Random(21), []
     for family in range(3):
         base = [f"f{family}w{r.randint(0, 999)}" for _ in range(120)]
-        for i in range(jaccard.CROWD + 6):
+        for i in range(70):
             t = list(base)
             t[r.randrange(len(t))] = f"own{family}x{i}"
             docs.append((len(docs), " ".join(t)))
