@@ -42,7 +42,7 @@ def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     done = U.deduplicate(_read(spark, sf_dir, "documents"))
     removed = F.array_join(F.transform("spans", lambda s: F.concat_ws("-", s["start"].cast("string"), s["end"].cast("string"))), ",")
-    return done.select("doc_id", "n_lines", "n_removed", removed.alias("removed"), "kept_sha256")
+    return done.select("doc_id", "n_removed", "n_units", removed.alias("removed"), "kept_sha256")
 
 
 def op6_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -82,20 +82,46 @@ QUERIES = {f.__name__: f for f in (op1_sharding, op2_substring_removal, op3_toxi
 ORACLE_SQL = {
     "op5_line_dedup": r"""
         WITH lines AS (
-            SELECT doc_id, i, string_split(text, chr(10))[i] AS line
-            FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS i FROM documents WHERE text <> '')
+            SELECT doc_id, l, string_split(text, chr(10))[l] AS line
+            FROM (SELECT doc_id, text, unnest(range(1, len(string_split(text, chr(10))) + 1)) AS l FROM documents WHERE text <> '')
         ), placed AS (
-            SELECT doc_id, i, line, coalesce(sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start,
-                   regexp_extract_all(line, '[^ \t-\r]+') AS words
+            SELECT *, regexp_extract_all(line, '[^ \t-\r]+') AS w, regexp_split_to_array(line, '[^ \t-\r]+') AS gaps,
+                   coalesce(sum(strlen(line) + 1) OVER (PARTITION BY doc_id ORDER BY l ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS base
             FROM lines
+        ), words AS (
+            SELECT doc_id, l, k, word, total, (base + sum(strlen(gap) + strlen(word)) OVER (PARTITION BY doc_id, l ORDER BY k) - strlen(word))::BIGINT AS start
+            FROM (SELECT doc_id, l, base, len(w) AS total, unnest(range(1, len(w) + 1)) AS k, unnest(w) AS word, unnest(gaps[1:len(w)]) AS gap FROM placed WHERE len(w) > 0)
+        ), numbered AS (
+            SELECT *, start + strlen(word) AS stop, row_number() OVER (PARTITION BY doc_id ORDER BY l, k) AS i, count(*) OVER (PARTITION BY doc_id) AS n FROM words
+        ), may AS (
+            SELECT doc_id, i FROM numbered WHERE k = total OR total >= 8 AND total - k >= 8 AND regexp_matches(word, '[.!?,;:]$')
+        ), jump AS (
+            SELECT a.doc_id, a.i, coalesce(b.i, a.n) AS last FROM numbered a ASOF LEFT JOIN may b ON a.doc_id = b.doc_id AND a.i + 7 <= b.i
+        ), chains AS (
+            SELECT doc_id, list_reduce(list_prepend([1::BIGINT], list_transform(range(n // 8 + 1), lambda x: []::BIGINT[])), lambda c, x: CASE WHEN c[-1] > n THEN c ELSE list_append(c, jumps[c[-1]] + 1) END) AS chain
+            FROM (SELECT doc_id, count(*) AS n, list(last ORDER BY i) AS jumps FROM jump GROUP BY doc_id)
+        ), units AS (
+            SELECT doc_id, unnest(chain[:-2]) AS first, unnest(chain[2:]) - 1 AS last FROM chains
+        ), made AS (
+            SELECT u.doc_id, u.first, u.last, translate(string_agg(x.word, ' ' ORDER BY x.i), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS plain
+            FROM units u JOIN numbered x ON x.doc_id = u.doc_id AND x.i BETWEEN u.first AND u.last GROUP BY u.doc_id, u.first, u.last
         ), ranked AS (
-            SELECT *, len(words) >= 8 AND row_number() OVER (PARTITION BY len(words) >= 8, translate(array_to_string(words, ' '), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ORDER BY doc_id, i) > 1 AS gone
-            FROM placed
-        )
-        SELECT d.doc_id, count(i)::BIGINT AS n_lines, count(i) FILTER (gone)::BIGINT AS n_removed,
-               coalesce(string_agg(start || '-' || (start + strlen(line)), ',' ORDER BY i) FILTER (gone), '') AS removed,
-               sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
-        FROM documents d LEFT JOIN ranked r ON d.doc_id = r.doc_id GROUP BY d.doc_id""",
+            SELECT m.doc_id, m.first, row_number() OVER (PARTITION BY plain ORDER BY m.doc_id, m.first) > 1 AS gone,
+                   CASE WHEN f.k = 1 THEN f.start ELSE p.stop END AS a, CASE WHEN f.k = 1 THEN coalesce(s.start, strlen(d.text)) ELSE e.stop END AS b
+            FROM made m JOIN documents d ON d.doc_id = m.doc_id JOIN numbered f ON f.doc_id = m.doc_id AND f.i = m.first JOIN numbered e ON e.doc_id = m.doc_id AND e.i = m.last
+            LEFT JOIN numbered p ON p.doc_id = m.doc_id AND p.i = m.first - 1 LEFT JOIN numbered s ON s.doc_id = m.doc_id AND s.i = m.last + 1
+        ), heads AS (
+            SELECT doc_id, first, a, b, coalesce(a > max(b) OVER (PARTITION BY doc_id ORDER BY first ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), true) AS new FROM ranked WHERE gone
+        ), spans AS (
+            SELECT doc_id, min(a)::BIGINT AS a, max(b)::BIGINT AS b FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY first) AS g FROM heads) GROUP BY doc_id, g
+        ), pieces AS (
+            SELECT d.doc_id, unnest(list_zip(list_prepend(0, list(b ORDER BY a)), list_append(list(a ORDER BY a), strlen(any_value(text))))) AS x, any_value(encode(text)) AS raw
+            FROM spans s JOIN documents d ON d.doc_id = s.doc_id GROUP BY d.doc_id
+        ), kept AS (SELECT doc_id, string_agg(decode(substr_blob), '' ORDER BY x[1]) AS text FROM (SELECT doc_id, x, raw[x[1] + 1:x[2]] AS substr_blob FROM pieces) GROUP BY doc_id),
+        counts AS (SELECT doc_id, count(*) AS n_units, count(*) FILTER (gone) AS n_removed FROM ranked GROUP BY doc_id),
+        named AS (SELECT doc_id, string_agg(a || '-' || b, ',' ORDER BY a) AS removed FROM spans GROUP BY doc_id)
+        SELECT d.doc_id, coalesce(n_removed, 0)::BIGINT AS n_removed, coalesce(n_units, 0)::BIGINT AS n_units, coalesce(removed, '') AS removed, sha256(coalesce(k.text, d.text, '')) AS kept_sha256
+        FROM documents d LEFT JOIN counts c ON c.doc_id = d.doc_id LEFT JOIN named n ON n.doc_id = d.doc_id LEFT JOIN kept k ON k.doc_id = d.doc_id""",
     "op9_source_mixing": r"""
         WITH d AS (
             SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^ \t-\r]+'))::BIGINT AS size,

@@ -106,21 +106,39 @@ def test_deep_shallow_order():
 
 
 # lines ------------------------------------------------------------------------------------------------------------
-def brute_lines(docs, least=8):
+def brute_units(t, least=8):
+    """(normal form, start, end of what goes) of every unit, in characters."""
+    groups, group = [], []  # of words: (match, opens a line)
+    at = 0
+    for line in (t or "").split("\n"):
+        words = [(at + m.start(), at + m.end(), i == 0) for i, m in enumerate(WORD.finditer(line))]
+        for i, w in enumerate(words):
+            group.append(w)
+            rest = len(words) - i - 1
+            if len(group) >= least and (rest == 0 or (len(words) >= least and rest >= least and t[w[1] - 1] in ".!?,;:")):
+                groups.append(group)
+                group = []
+        at += len(line) + 1
+    groups += [group] if group else []
+    out = []
+    for k, g in enumerate(groups):
+        after = groups[k + 1][0][0] if k + 1 < len(groups) else len(t)
+        out.append((" ".join(lower(t[a:b]) for a, b, _ in g), *((g[0][0], after) if g[0][2] else (groups[k - 1][-1][1], g[-1][1]))))
+    return out
+
+
+def brute_lines(docs):
     seen, out = set(), {}
     for d, t in sorted(docs, key=lambda x: x[0]):
-        at, kept, spans = 0, [], []
-        lines = (t or "").split("\n") if t else []
-        for x in lines:
-            key = tuple(WORD.findall(lower(x)))
-            if len(key) >= least and key in seen:
-                spans.append((at, at + len(x.encode())))
-            else:
-                kept.append(x)
-                if len(key) >= least:
-                    seen.add(key)
-            at += len(x.encode()) + 1
-        out[d] = (len(lines), spans, "\n".join(kept))
+        units, cut, gone = brute_units(t), np.zeros(len(t or "") + 1, bool), 0
+        for plain, a, b in units:
+            if plain in seen:
+                cut[a:b] = True
+                gone += 1
+            seen.add(plain)
+        edges = np.flatnonzero(np.diff(np.concatenate(([0], cut.astype(int), [0])))).reshape(-1, 2).tolist()
+        place = lambda i: len((t or "")[:i].encode())
+        out[d] = (len(units), gone, [(place(a), place(b)) for a, b in edges], "".join(c for c, x in zip(t or "", cut) if not x))
     return out
 
 
@@ -128,11 +146,45 @@ def brute_lines(docs, least=8):
 def test_lines(spark, sf, edge, empty, which):
     docs = documents(spark, sf) if which == "sf" else edge.dropDuplicates(["doc_id"])
     want = brute_lines([(r.doc_id, r.text) for r in docs.collect()])
-    got = {r.doc_id: (r.n_lines, [tuple(s) for s in r.spans], r.text) for r in units.deduplicate(docs).collect()}
-    assert got == want
+    got = {r.doc_id: (r.n_units, r.n_removed, [tuple(s) for s in r.spans], r.text) for r in units.deduplicate(docs).collect()}
+    assert got == want and any(x[1] for x in want.values())
     assert units.deduplicate(empty).count() == 0 and units.deduplicate(edge).count() == edge.count()
 
 
+def test_passage_inside_lines(spark):
+    """A passage that starts and ends inside lines goes from the later document; lines of few words stay."""
+    r = random.Random(2)
+    words = lambda n: " ".join(f"q{r.randint(0, 99999)}" for _ in range(n))
+    passage = ". ".join(words(11) for _ in range(6))
+    docs = [(i, f"{words(9)}, {passage}. {words(20)}\nshort line\n{words(12)}") for i in range(60)] + [(99, None), (100, " \n"), (101, "short line")]
+    got = {x.doc_id: x for x in units.deduplicate(spark.createDataFrame(docs, "doc_id long, text string").repartition(3)).collect()}
+    for i in range(60):
+        assert got[i].n_removed == (0 if i == 0 else 6) and got[i].text.count("short line") == 1
+    want = brute_lines(docs)
+    assert {i: (x.n_units, x.n_removed, [tuple(s) for s in x.spans], x.text) for i, x in got.items()} == want
+    # One task that remembers what it has sent, a document a slice: each digest of the passage goes out once or twice.
+    batches = [pa.RecordBatch.from_pydict({"doc_id": [i], "key": [0], "text": [t]}) for i, t in docs[:60] for t in [t + "\n" + t]]
+    rows = pa.Table.from_batches(list(units.map_units(4, 8)(batches)))
+    sent = rows.filter(pa.compute.is_null(rows["doc_id"]))["data"].to_pylist()
+    times = collections.Counter(map(tuple, np.concatenate([units._entered(x)[0] for x in sent]).tolist()))
+    assert sum(times.values()) < 60 * 4 + 20
+    gone = collections.Counter()
+    for x in grouped(rows, "bucket", lambda key, t: units.match_units(key, t)).to_pylist():
+        gone[x["doc_id"]] += len(x["data"]) // 8
+    assert {i: gone[i] for i in range(60)} == {i: x[1] for i, x in brute_lines([(i, t + "\n" + t) for i, t in docs[:60]]).items()}
+
+
+def test_word_patterns_do_not_collide(spark):
+    """Lines of two words in the order of the Thue-Morse sequence and its complement, which polynomial hashes confuse."""
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    texts = [" ".join("ab"[b] for b in bits), " ".join("ba"[b] for b in bits)]
+    from glyphmill.llm.common import word_hashes
+
+    raw = np.frombuffer(("".join("ab"[b] for b in bits) + "".join("ba"[b] for b in bits)).encode(), np.uint8)
+    assert len(set(word_hashes(raw, np.array([0, 4096]), np.array([4096, 8192])).tolist())) == 2
+    assert all(r.n_removed == 0 for r in units.deduplicate(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect())
+
+
 # near duplicates --------------------------------------------------------------------------------------------------
 def brute_classes(docs, shingle, percent):
     def made(t):
