@@ -146,12 +146,23 @@ ORACLE_SQL = {
         covered AS (SELECT doc_id, count(DISTINCT j) AS n FROM (SELECT doc_id, unnest(range(i, i + 5)) AS j FROM twice) GROUP BY doc_id),
         base AS (SELECT w.doc_id, lang, source, len(words)::BIGINT AS n_words, length(array_to_string(words, ''))::BIGINT AS word_chars, len(regexp_extract_all(t, '[#*$%&|<>]'))::BIGINT AS n_symbols,
                         (len(lines) - len(list_distinct(lines)))::BIGINT AS n_dup_lines, len(lines)::BIGINT AS n_lines, coalesce(n, 0)::BIGINT AS n_repeat_words FROM w LEFT JOIN covered c ON w.doc_id = c.doc_id),
-        shares AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, CASE WHEN word_chars > 0 THEN n_symbols * 1000 // word_chars END AS a, CASE WHEN n_lines > 0 THEN n_dup_lines * 1000 // n_lines END AS b, CASE WHEN n_words > 0 THEN word_chars * 100 // n_words END AS c FROM base),
-        sorted AS (SELECT lang, source, count(*) AS n, list_sort(list(a)) AS a, list_sort(list(b)) AS b, list_sort(list(c)) AS c FROM shares WHERE n_words >= 10 GROUP BY lang, source),
-        q AS (SELECT *, greatest(1, ceil(0.25 * n))::BIGINT AS q1, greatest(1, ceil(0.5 * n))::BIGINT AS q2, greatest(1, ceil(0.75 * n))::BIGINT AS q3 FROM sorted),
-        fence AS (SELECT lang, source, greatest(100, a[q2] + 6 * (a[q3] - a[q1])) AS fa, greatest(500, b[q2] + 6 * (b[q3] - b[q1])) AS fb, greatest(1500, c[q2] + 6 * (c[q3] - c[q1])) AS fc FROM q)
+        m AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, (2 * n_symbols + 1) * 500000 // (word_chars + 1) AS a, (2 * n_dup_lines + 1) * 500000 // (n_lines + 1) AS b, CASE WHEN n_words > 0 THEN word_chars * 1000 // n_words END AS c FROM base),
+        own AS (SELECT lang, source FROM m GROUP BY lang, source),
+        voters AS (SELECT * FROM m WHERE n_words >= 10),
+        levels AS (
+            SELECT 1 AS level, lang, source, count(*) AS n, list_sort(list(a)) AS a, list_sort(list(b)) AS b, list_sort(list(c)) AS c FROM voters GROUP BY lang, source
+            UNION ALL SELECT 2, lang, NULL, count(*), list_sort(list(a)), list_sort(list(b)), list_sort(list(c)) FROM voters GROUP BY lang
+            UNION ALL SELECT 3, NULL, NULL, count(*), list_sort(list(a)), list_sort(list(b)), list_sort(list(c)) FROM voters
+        ), q AS (SELECT level, lang, source, a[i] AS a1, a[j] AS a3, b[i] AS b1, b[j] AS b3, c[i] AS c1, c[j] AS c3 FROM (SELECT *, ceil(0.25 * n)::BIGINT AS i, ceil(0.75 * n)::BIGINT AS j FROM levels WHERE n >= 20)),
+        f AS (SELECT level, lang, source, CASE WHEN a1 < a3 THEN a3::DOUBLE * (a3::DOUBLE / a1::DOUBLE) * (a3::DOUBLE / a1::DOUBLE) * (a3::DOUBLE / a1::DOUBLE) END AS fa,
+                     CASE WHEN b1 < b3 THEN b3::DOUBLE * (b3::DOUBLE / b1::DOUBLE) * (b3::DOUBLE / b1::DOUBLE) * (b3::DOUBLE / b1::DOUBLE) END AS fb, CASE WHEN c1 < c3 THEN (c3 + 6 * (c3 - c1))::DOUBLE END AS fc FROM q),
+        fence AS (
+            SELECT own.lang, own.source, coalesce(x.fa, y.fa, z.fa) AS fa, coalesce(x.fb, y.fb, z.fb) AS fb, coalesce(x.fc, y.fc, z.fc) AS fc
+            FROM own LEFT JOIN f x ON x.level = 1 AND x.lang IS NOT DISTINCT FROM own.lang AND x.source IS NOT DISTINCT FROM own.source
+            LEFT JOIN f y ON y.level = 2 AND y.lang IS NOT DISTINCT FROM own.lang LEFT JOIN f z ON z.level = 3
+        )
         SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT (base_failed OR coalesce(a > fa, false) OR coalesce(b > fb, false) OR coalesce(c > fc, false)) AS kept
-        FROM shares s LEFT JOIN fence f ON s.lang IS NOT DISTINCT FROM f.lang AND s.source IS NOT DISTINCT FROM f.source""",
+        FROM m LEFT JOIN fence ON m.lang IS NOT DISTINCT FROM fence.lang AND m.source IS NOT DISTINCT FROM fence.source""",
     "op4_decontamination": r"""
         WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
         b AS (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),

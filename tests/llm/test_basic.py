@@ -96,6 +96,21 @@ def test_quality_is_adaptive(spark):
     assert all(got[i] for i in range(20)) and all(got[100 + i] for i in range(20)) and not got[200]
 
 
+def test_quality_thresholds(spark):
+    """Every fence of the real documents comes from a sketch; small groups take their language's."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    stats = quality.statistics(docs, repeats=False).select("*", "row.lang", "row.source")
+    rows = quality.thresholds(stats).collect()
+    assert len(rows) == docs.select("lang", "source").distinct().count()
+    assert all(getattr(r, f"level_{k}") in ("own", "lang") and getattr(r, f"max_{k}") > 0 for r in rows for k in quality.MEASURES)
+    assert {r.level_symbols for r in rows} == {"own", "lang"}
+    assert len({r.max_symbols for r in rows}) > 4
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = quality.quality_report(docs).join(labels, "doc_id").filter("NOT base_failed").groupBy("quality", "kept").count().collect()
+    count = {(r.quality, r.kept): r["count"] for r in got}
+    assert count.get((1, False), 0) <= 0.01 * count[1, True] and count.get((0, True), 0) <= 0.15 * count[0, False]
+
+
 # mixing -----------------------------------------------------------------------------------------------------------
 def brute_targets(sizes):
     order = sorted(sizes, key=lambda s: (s is None, s))
