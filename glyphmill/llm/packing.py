@@ -17,6 +17,7 @@ from __future__ import annotations
 
 import math
 import os
+import re
 import uuid
 import zlib
 
@@ -26,7 +27,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import LOWER, NON_SPACE, RangeHash, expand, make_folder, materialise, shared_dir, slices, text_bytes, words_of
+from .common import LOWER, NON_SPACE, expand, make_folder, materialise, shared_dir, slices, text_bytes, trimmed, word_hashes
 
 MAGIC = b"GLYPHTOK"
 VERSION = 1
@@ -34,7 +35,7 @@ END_ID = 2
 BLOCK_IDS = 4096
 FILE_BYTES = 16 << 20
 #: Pieces whose ids a worker remembers; beyond it the memory starts anew.
-CACHE = 500_000
+CACHE = 200_000
 #: Pieces given to the tokenizer at once.
 AT_ONCE = 2048
 
@@ -84,8 +85,29 @@ _KIND[_bytes("abcdefghijklmnopqrstuvwxyz")] = 1
 _KIND[_bytes("!\"#$%&()*+,-./:;=?@[\\]^_`{}~")] = 2  # without ' and the characters of special tokens
 
 
+def splits_at_spaces(made: dict) -> bool:
+    """Whether a tokenizer (its JSON) encodes white-space separated pieces one by one: a pre-tokenizer that drops white
+    space or splits by LETTERS_APART with the rest removed, a normaliser that looks at single characters only, no added
+    tokens with white space inside or that reach over it, no truncation, and a model that marks no word's beginning."""
+    def parts(x, name):
+        return [] if x is None else [y for z in x[name] for y in parts(z, name)] if x["type"] == "Sequence" else [x]
+
+    before = parts(made.get("pre_tokenizer"), "pretokenizers")
+    normal = parts(made.get("normalizer"), "normalizers")
+    splits = [x for x in before if x["type"] in ("Whitespace", "WhitespaceSplit", "BertPreTokenizer")]
+    splits += [x for x in before if x["type"] == "Split" and x.get("pattern", {}).get("Regex") == LETTERS_APART and x.get("behavior") == "Removed" and x.get("invert")]
+    others = [x for x in before if x not in splits]
+    plain = all(x["type"] == "ByteLevel" and not x.get("add_prefix_space") and not x.get("use_regex", True) for x in others)
+    # What folds white space changes nothing between pieces; NFC and NFKC compose within a piece, but for a combining
+    # mark after white space, which is a piece of its own either way.
+    normal = all(x["type"] in ("Lowercase", "NFC", "NFKC", "NFD", "NFKD", "StripAccents", "BertNormalizer") or (x["type"] == "Replace" and x.get("pattern", {}).get("Regex") == r"\s+" and x.get("content") == " ") for x in normal)
+    added = all(not re.search(r"\s", x["content"]) and not x.get("lstrip") and not x.get("rstrip") and not x.get("single_word") for x in made.get("added_tokens") or [])
+    return bool(splits) and before[0] in splits and plain and normal and added and not made.get("truncation") and not made.get("padding")
+
+
 class Encoder:
-    """Ids of texts by a tokenizer that never joins pieces over white space: each piece is encoded once and remembered."""
+    """Ids of texts. Where the tokenizer never joins pieces over white space, each piece is encoded once and remembered;
+    any other tokenizer gets whole texts."""
 
     def __init__(self, path: str):
         import json
@@ -96,6 +118,7 @@ class Encoder:
         self.bits = bits_for(self.tokenizer.get_vocab_size(with_added_tokens=True))
         with open(path, encoding="utf-8") as f:
             made = json.load(f)
+        self.by_piece = splits_at_spaces(made)
         text = json.dumps([made.get("normalizer"), made.get("pre_tokenizer")])
         self.apart = json.dumps(LETTERS_APART) in text and '"type": "Lowercase"' in text and '"use_regex": false' in text
         self.apart &= all(x["content"].startswith("<|") for x in made.get("added_tokens") or [])
@@ -117,6 +140,9 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(ids, number of ids of each text); the end id closes each text."""
+        if not self.by_piece:
+            found = [np.array([*self.tokenizer.encode(x or "", add_special_tokens=False).ids, END_ID], np.uint32) for x in texts.to_pylist()]
+            return np.concatenate([np.zeros(0, np.uint32), *found]), np.array([len(x) for x in found], np.int64)
         data, offsets = text_bytes(texts)
         solid = NON_SPACE[data]
         begin = solid.copy()
@@ -136,7 +162,7 @@ class Encoder:
             held = np.unique(np.searchsorted(start, np.flatnonzero((data[:-1] == 60) & (data[1:] == 124)), "right") - 1)
             own = expand(start[held], end[held] - start[held])
             data[own] = raw_data[own]
-        names, first, piece = np.unique(RangeHash(data)(start, end), return_index=True, return_inverse=True)
+        names, first, piece = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
         if len(self.known) > CACHE:
             self.clear()
         at = [self.known.get(h, 0) for h in names.tolist()]  # 0 is the end id, never a piece
@@ -240,7 +266,7 @@ def write_tokens(docs: DataFrame, path: str, tokenizer: str) -> DataFrame:
         yield pa.RecordBatch.from_pydict({"file": pa.array([number], pa.int32()), "name": [name], "n_docs": [len(counts)], "n_tokens": [int(counts.sum())]})
 
     # Written as a table at once: the files' numbers belong to this one run of the range partitioning.
-    return materialise(ordered.mapInArrow(run, "file int, name string, n_docs bigint, n_tokens bigint"))
+    return materialise(ordered.mapInArrow(trimmed(run), "file int, name string, n_docs bigint, n_tokens bigint"))
 
 
 def read_tokens(files: DataFrame, path: str) -> DataFrame:
@@ -267,7 +293,7 @@ def read_tokens(files: DataFrame, path: str) -> DataFrame:
                     at = to
                 yield pa.RecordBatch.from_arrays([pa.array(f.doc_ids, mask=f.valid == 0), pa.array(f.first[:-1] + base), pa.array(np.diff(f.first)), pa.array(crc)], ["doc_id", "start", "n_tokens", "ids_crc32"])
 
-    return raw.join(starts, "name").select("name", "content", "start").mapInArrow(run, "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
+    return raw.join(starts, "name").select("name", "content", "start").mapInArrow(trimmed(run), "doc_id bigint, start bigint, n_tokens bigint, ids_crc32 bigint")
 
 
 def tokenise(docs: DataFrame, tokenizer: str) -> DataFrame:
