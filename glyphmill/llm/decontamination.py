@@ -8,10 +8,11 @@ matrix, and suffix positions sampled at every SAMPLE-th place and at the start o
 WINDOW words of an item; a shorter item is one phrase) are searched backward together; occurrences are located by
 steps of the LF mapping to a sampled place; hit words are merged to removal spans. Texts are never shuffled.
 
-The phrases go to the executors in blocks of at most BLOCK_BYTES of item text, so a benchmark of any size is searched.
+The phrases go to the executors in blocks of about BLOCK_BYTES of item text, AT_ONCE blocks in one pass over the
+documents, so memory doesn't grow with the benchmark.
 
 Defined cases: null and empty texts have no words; items without words have no phrase; several items may share a
-phrase, and all are named; repeated rows get equal results; an empty benchmark contaminates nothing; extra columns
+phrase, and all are named; items of null item_id count as one, without a name; repeated rows get equal results; an empty benchmark contaminates nothing; extra columns
 are kept by removed.
 """
 
@@ -24,34 +25,36 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, RangeHash, expand, lists, packed, slices, text_bytes, words_of
+from .common import LOWER, expand, lists, materialise, packed, slices, text_bytes, trimmed, word_hashes, words_of
 
 WINDOW = 10
 SHARD_BYTES = 4 << 20
-BLOCK_BYTES = 16 << 20
+BLOCK_BYTES = 4 << 20
+#: Blocks that are searched in one pass over the documents; what is found is then written, and the next ones follow.
+AT_ONCE = 4
 SAMPLE = 8
 
 
-def word_hashes(texts: pa.Array):
+def hashed_words(texts: pa.Array):
     """Hash, start, end, text number of all words, and the bounds of the texts."""
     data, offsets = text_bytes(texts)
     start, end, doc = words_of(data, offsets)
-    return RangeHash(LOWER[data])(start, end), start, end, doc, offsets
+    return word_hashes(LOWER[data], start, end), start, end, doc, offsets
 
 
 class Phrases:
     """The phrases of a block of items."""
 
     def __init__(self, ids: pa.Array, texts: pa.Array, window: int = WINDOW):
-        hashes, _, _, item, _ = word_hashes(texts)
+        hashes, _, _, item, _ = hashed_words(texts)
         self.vocabulary, symbol = np.unique(hashes, return_inverse=True)
         symbol = symbol.astype(np.int64) + 1
-        self.names = np.array(ids.cast(pa.string()).fill_null("null").to_pylist(), object)
+        self.names = np.array(ids.cast(pa.string()).to_pylist(), object)
         n = np.bincount(item, minlength=len(ids))
         first = np.cumsum(n) - n
         count = np.where(n >= window, n - window + 1, np.minimum(n, 1))
         start, of, size = expand(first, count), np.repeat(np.arange(len(ids)), count), np.repeat(np.minimum(n, window), count)
-        table = np.zeros((len(start), window), np.int64)  # a phrase's symbols, last one in the last column
+        table = np.zeros((len(start), window), np.int32)  # a phrase's symbols, last one in the last column
         for k in range(window):
             there = size > k
             table[there, window - 1 - k] = symbol[start[there] + size[there] - 1 - k]
@@ -130,7 +133,7 @@ class FMIndex:
         low, high = np.zeros(len(table), np.int64), np.full(len(table), self.n, np.int64)
         known = len(self.before) - 1
         for k in range(table.shape[1] - 1, -1, -1):
-            c = table[:, k]
+            c = table[:, k].astype(np.int64)
             high[c >= known] = low[c >= known]
             go = np.flatnonzero((c > 0) & (high > low))
             s = c[go]
@@ -181,7 +184,7 @@ def occurrences(hashes: np.ndarray, doc: np.ndarray, phrases: Phrases) -> tuple[
 def _scan(part: pa.RecordBatch, phrases: Phrases) -> pa.RecordBatch:
     """Adds what one block of phrases finds. Columns: row, text, n_words, hits (word ranges), items."""
     n = part.num_rows
-    hashes, start, end, doc, offsets = word_hashes(part.column("text"))
+    hashes, start, end, doc, offsets = hashed_words(part.column("text"))
     words = np.bincount(doc, minlength=n)
     first = np.cumsum(words) - words
     place, phrase = occurrences(hashes, doc, phrases)
@@ -228,7 +231,9 @@ def contamination(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW) -
                 for part in slices(batch, 1, SHARD_BYTES):
                     yield _scan(part, sent.value)
 
-        out = out.mapInArrow(run, out.schema)
+        out = out.mapInArrow(trimmed(run), out.schema)
+        if k % AT_ONCE == AT_ONCE - 1 and k + 1 < blocks:
+            out = materialise(out)
     return out
 
 

@@ -182,9 +182,10 @@ def test_decontamination(spark, sf):
     assert got == want and any(x[4] for x in want.values())
 
 
-@pytest.mark.parametrize("block", [1 << 20, 40])
+@pytest.mark.parametrize("block", [1 << 20, 40, 25])
 def test_decontamination_edges(spark, edge, empty, block, monkeypatch):
     monkeypatch.setattr(decontamination, "BLOCK_BYTES", block)
+    monkeypatch.setattr(decontamination, "AT_ONCE", 2)
     texts = {r.doc_id: r.text for r in edge.collect()}
     long = texts[5].split()
     items = [(1, " ".join(long[3:20]).upper()), (2, None), (3, ""), (4, "one"), (5, "B C"), (6, "b, c"), (7, " ".join(long[10:22])), (8, "never seen words"), (9, "日本語")]
@@ -203,6 +204,14 @@ def test_decontamination_edges(spark, edge, empty, block, monkeypatch):
     assert not any(r.contaminated for r in decontamination.report(edge, bench.limit(0)).collect())
 
 
+def test_items_without_an_id(spark):
+    docs = spark.createDataFrame([(1, "one two three"), (2, "two"), (3, "four")], "doc_id long, text string")
+    bench = spark.createDataFrame([(None, "two"), (None, "three"), ("null", "two"), ("a", "four")], "item_id string, text string")
+    got = {r.doc_id: (r.n_hit, r.n_items, r.items_sha256) for r in decontamination.report(docs, bench).collect()}
+    sha = lambda x: hashlib.sha256(x.encode()).hexdigest()
+    assert got == {1: (2, 2, sha("null")), 2: (1, 2, sha("null")), 3: (1, 1, sha("a"))}
+
+
 def test_fm_index_against_search():
     r = np.random.default_rng(1)
     runs = [r.integers(1, 5, r.integers(1, 40)) for _ in range(30)]
@@ -255,6 +264,27 @@ def test_special_tokens_match_raw_text(spark):
     assert sorted(tuple(r) for r in packing.tokenise(docs, tokenizer()).collect()) == want
 
 
+@pytest.mark.parametrize("name, by_piece", [("word_bpe_49k.json", True), ("byte_bpe_50k.json", False)])
+def test_ids_equal_the_library(name, by_piece):
+    """Any text, by a tokenizer that can be cut at white space and by one that can't."""
+    import random
+
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    path = public_tokenizers.path(name)
+    plain, encoder, r = Tokenizer.from_file(path), packing.Encoder(path), random.Random(name)
+    assert encoder.by_piece == by_piece
+    bits = ["<|endoftext|>", "<|ENDOFTEXT|>", "<|EndOfText|>", "<|startoftext|>", "<|", "|>", "<", "it's", "IT'S", "'ll", "we'LL", "'", "''s", "abc", "ABC", "x", "12", "3", "é", "E\u0301", "\u0301", "ÀB", "Σ", "ΑΣ", "İ", "ß", "ǅ", "日本語", "\u00a0", "\u3000", "\u200b", " ", "  ", "\n", "\t", "\r\n", "\x0b", "\x0c", "\x85", "\x00", "\x1f", ".", "...", "!?", "-", "--", "_", "a_b", "a.b", "👍🏽", "\U0010ffff", "ﬁ", "①", "²", "ａ", "à" * 40, "q" * 300]
+    texts = [None, ""] + ["".join(r.choice(bits) for _ in range(r.randint(1, 30))) for _ in range(1500)]
+    for at in range(0, len(texts), 100):
+        part = texts[at : at + 100]
+        ids, n = encoder.encode(pa.array(part, pa.string()))
+        ends = np.cumsum(n)
+        for t, a, b in zip(part, ends - n, ends):
+            assert ids[a:b].tolist() == plain.encode(t or "", add_special_tokens=False).ids + [2], repr(t)
+
+
 def test_token_files_empty(empty, spark):
     assert packing.tokenise(empty, tokenizer()).count() == 0
 
