@@ -12,7 +12,8 @@ text); scoring runs over all of every text. Long texts are no loop of their own:
 transfer matrices are multiplied for all blocks at once, and only these are chained along a text.
 
 Defined cases: null and empty texts have no words and the score of the fitted intercept; without any label of one
-kind every score is 0; repeated rows get equal scores; extra columns are ignored; a doc_id may be null.
+kind every score is 0; of the rows of one doc_id the shortest text is trained on; a labelled text that doesn't fit in what
+is left of TRAIN_BYTES is passed over, or cut to half of it if its kind of label would be missing otherwise; repeated rows get equal scores; extra columns are ignored; a doc_id may be null.
 """
 
 from __future__ import annotations
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, RangeHash, slices, text_bytes, words_of
+from .common import LOWER, RangeHash, slices, text_bytes, trimmed, words_of
 
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1600, 3200, 12 << 20
 #: A mark stands in at least so many training documents that nothing else explains ...
@@ -278,18 +279,17 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     # The sample is drawn on the label table alone; only its documents' texts are fetched.
     rank = F.xxhash64(F.lit(SEED), "l_id")
     chosen = known.filter("l_toxic = 1").orderBy(rank, "l_id").limit(TRAIN_TOXIC).unionByName(known.filter("l_toxic = 0").orderBy(rank, "l_id").limit(TRAIN_CLEAN))
-    table = docs.select("doc_id", "text").join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id")).select("doc_id", "text", "l_toxic").toArrow()
-    table = table.sort_by([("doc_id", "ascending"), ("text", "ascending")])
-    size = np.array([len(x or "") for x in table["text"].to_pylist()], np.int64)
-    toxic = np.array(table["l_toxic"].to_pylist(), bool)
+    # Sizes first, then no more text than is trained on. Of rows of one doc_id the shortest text speaks.
+    labelled = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text")).join(F.broadcast(chosen), F.col("doc_id") == F.col("l_id"))
+    found = labelled.groupBy("doc_id").agg(F.min(F.struct(F.length("text").alias("size"), F.xxhash64("text").alias("key"), F.col("l_toxic").alias("toxic"))).alias("least")).select("doc_id", "least.*").toArrow().sort_by("doc_id")
+    size, toxic = np.array(found["size"], np.int64), np.array(found["toxic"].to_pylist(), bool)
     take, most = drawn(size, toxic)
-    toxic = toxic[take]
-    if not toxic.any() or toxic.all():
+    if not toxic[take].any() or toxic[take].all():
         return None
-    texts = pa.concat_arrays(table["text"].chunks).take(pa.array(take))
-    if (most < size[take]).any():
-        texts = pa.array([(x or "")[:n] for x, n in zip(texts.to_pylist(), most.tolist())], pa.string())
-    return train(texts, toxic)
+    asked = docs.sparkSession.createDataFrame(list(zip(np.array(found["doc_id"])[take].tolist(), np.array(found["key"])[take].tolist(), most.tolist(), toxic[take].tolist())), "t_id bigint, t_key bigint, most bigint, t_toxic boolean")
+    same = (F.col("doc_id") == F.col("t_id")) & (F.xxhash64("text") == F.col("t_key"))
+    table = labelled.join(F.broadcast(asked), same).select("doc_id", F.expr("substring(text, 1, int(most))").alias("text"), "t_toxic").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
+    return train(pa.concat_arrays(table["text"].chunks), np.array(table["t_toxic"].to_pylist(), bool))
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -304,4 +304,4 @@ def score(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 s, spans = (np.zeros(part.num_rows), [[]] * part.num_rows) if m is None else score_texts(part.column(1), m)
                 yield pa.RecordBatch.from_arrays([part.column(0), pa.array(s), pa.array([[{"start": a, "end": b} for a, b in x] for x in spans], pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])))], ["doc_id", "score", "spans"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, score double, spans array<struct<start: bigint, end: bigint>>")
+    return docs.select("doc_id", "text").mapInArrow(trimmed(run), "doc_id bigint, score double, spans array<struct<start: bigint, end: bigint>>")

@@ -368,6 +368,27 @@ def test_toxicity_held_out(spark, edge, empty):
     assert {r.score for r in toxicity.score(d, l.limit(0)).collect()} == {0.0}
 
 
+def test_toxicity_query(spark):
+    """The registered query: folds, scores and predictions, and its accuracy on the held-out labels (sf0.01 has only six
+    toxic ones held out)."""
+    sf = "/root/testdata/sf0.1"
+    rows = queries.op3_toxicity(spark, sf).collect()
+    labels = {r.doc_id: r.toxic for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    assert sorted(r.doc_id for r in rows) == sorted(r.doc_id for r in documents(spark, sf).select("doc_id").collect())
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+    held = [(r.score, labels[r.doc_id]) for r in rows if r.held_out and r.doc_id in labels]
+    assert sum((s >= 0.5) == bool(y) for s, y in held) / len(held) > 0.97
+    pairs = [(a, b) for a, y in held if y for b, z in held if not z]
+    assert sum((a > b) + 0.5 * (a == b) for a, b in pairs) / len(pairs) > 0.94
+
+
+def test_toxicity_repeated_labelled_rows(spark):
+    docs, labels = toxic_corpus(120)
+    d, l = spark.createDataFrame([*docs, *docs[:40], (None, "x"), (3, None)], "doc_id long, text string"), spark.createDataFrame([*labels, *labels[:9]], "doc_id long, quality int, toxic int")
+    assert toxicity.score(d, l).count() == len(docs) + 42
+
+
 def test_toxicity_long_documents(spark, monkeypatch):
     """Labelled documents beyond the training's room don't end the sample."""
     docs, labels = toxic_corpus(300)
@@ -443,6 +464,15 @@ def test_html_query(spark, sf):
         assert r.text == "\n\n".join(x for x in blocks if x) and r.n_chars == len(r.text) and r.url == p.url
 
 
+def test_html_broken_pages_take_linear_time():
+    import time
+
+    began = time.time()
+    for page in ("<div>" * 60_000 + "</span></section>" * 60_000 + "x", "<ul>" + "<div>" * 40_000 + "<li>a</li>" * 40_000, "<table><tr><td>" * 20_000 + "</p>" * 40_000):
+        assert html.parse(page).text
+    assert time.time() - began < 30
+
+
 def test_html_edges(spark):
     rows = [(1, "u", None), (2, "u", ""), (3, None, "no tags at all"), (4, "u", "<div><p>cut in the mid"), (5, "u", "<p class='a>x"), (6, "u", "<" * 2000), (7, "u", "<div>" * 3000 + "deep"), (8, "u", "<article><p>caf&eacute; &#x41;\n\n b</p><script>var x='<p>no</p>'</script><!-- <p>no</p> --><p>x&nbsp;y</p></article>")]
     got = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
