@@ -25,7 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import slices
+from .common import slices, trimmed
 from .html_samples import pages as sample_pages
 
 TRAIN_PAGES, SEED, STEPS = 500, 17, 80
@@ -127,6 +127,17 @@ def parse(page: str, at_offset: list[int] | None = None) -> Tree:
             k -= 1
         leave(k)
 
+    # Where each name stands in the stack, so that no tag walks through it.
+    places: dict[str, list[int]] = {}
+
+    def cut(k: int):
+        for _, x in stack[k:]:
+            places[x].pop()
+        del stack[k:]
+
+    def innermost(names) -> int:
+        return max((places[x][-1] for x in names if places.get(x)), default=0)
+
     last = 0
     tags, closed = _tags(page)
     for number, (start, end, tag, ends, attr) in enumerate(tags):
@@ -151,7 +162,7 @@ def parse(page: str, at_offset: list[int] | None = None) -> Tree:
                 if count.get(tag):
                     end_held(tag)
                     continue
-                if all(tag != x for _, x in stack[1:]):
+                if not places.get(tag):
                     continue
                 leave(hidden[0][0])
         else:
@@ -173,21 +184,15 @@ def parse(page: str, at_offset: list[int] | None = None) -> Tree:
         elif tag in BLOCKS:
             flush()
             if ends:
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][1] == tag:
-                        del stack[k:]
-                        break
+                if places.get(tag):
+                    cut(places[tag][-1])
                 continue
             if stack[-1][1] == "p":
-                stack.pop()
+                cut(len(stack) - 1)
             if tag in ENDS:
                 same, outer = ENDS[tag]
-                for k in range(len(stack) - 1, 0, -1):
-                    if stack[k][1] in outer:
-                        break
-                    if stack[k][1] in same:
-                        del stack[k:]
-                        break
+                if (k := innermost(same)) > innermost(x for x in outer if x not in same):
+                    cut(k)
             if tag in VOID:
                 continue
             features = [f"tag:{tag}"]
@@ -199,6 +204,7 @@ def parse(page: str, at_offset: list[int] | None = None) -> Tree:
             node = tree.add(stack[-1][0], features)
             if at_offset is not None:
                 at_offset.append(start)
+            places.setdefault(tag, []).append(len(stack))
             stack.append((node, tag))
     if last < len(page) and not hidden:
         if not run:
@@ -331,4 +337,4 @@ def extract(pages: DataFrame) -> DataFrame:
                 texts = texts_of(part.column(2).to_pylist(), sent.value)
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(x) for x in texts], pa.int64())], ["page_id", "url", "text", "n_chars"])
 
-    return pages.select("page_id", "url", "html").mapInArrow(run, "page_id bigint, url string, text string, n_chars bigint")
+    return pages.select("page_id", "url", "html").mapInArrow(trimmed(run), "page_id bigint, url string, text string, n_chars bigint")
