@@ -75,7 +75,9 @@ def wrapped(text: Column, max_width, max_lines: int, width=F.length) -> Column:
         breaks = F.length(state) - F.length(F.replace(state, F.lit("\n"), F.lit("")))
         return F.when(state == "", token).when(breaks >= full, state).when(width(joined) <= limit, F.concat(state, separator, token)).otherwise(F.concat(state, F.lit("\n"), token))
 
-    lines = F.slice(F.split(F.aggregate(tokens(text), F.lit(""), step), "\n"), 1, max_lines)
+    # A token is one character or more, so no others can reach a line that stays.
+    some = F.slice(tokens(text), F.lit(1), (max_lines * (limit + 1)).cast("int"))
+    lines = F.slice(F.split(F.aggregate(some, F.lit(""), step), "\n"), 1, max_lines)
     last = F.element_at(lines, -1)
     shorter = F.filter(F.sequence(F.lit(1), F.greatest(F.length(last) - 1, F.lit(1))), lambda n: (n == 1) | (width(F.concat(F.substring(last, F.lit(1), n), F.lit("..."))) <= limit))
     cut = F.when((width(last) <= limit) | (F.length(last) <= 1), last).otherwise(F.concat(F.substring(last, F.lit(1), F.array_max(shorter)), F.lit("...")))

@@ -79,34 +79,66 @@ def has_action_word(text: Column) -> Column:
     return X.contains_any(X.fold(text), ACTION_WORDS)
 
 
+def _filled_rows(kind: str, seed: Column, at: Column) -> list[Column]:
+    """The texts of a kind's templates, with drawn names and numbers, as columns."""
+    name = lambda bank: D.choice([x for x, _ in banks.BANKS[bank]], seed, "re", bank, at)
+    slots = {"hero": name("hero"), "place": name("place")} | {k: D.between(low, high, seed, "re", k, at).cast("string") for k, (low, high) in {"current": (18, 180), "max": (190, 320), "level": (2, 48), "combo": (2, 9)}.items()}
+    out = []
+    for text, _ in banks.TEMPLATES[kind]:
+        column = F.lit(text)
+        for k, v in slots.items():
+            if "{" + k + "}" in text:
+                column = F.replace(column, F.lit("{" + k + "}"), v)
+        out.append(column)
+    return out
+
+
 def restyled(text: Column, kind: Column, seed: Column, at: Column) -> Column:
-    """Library texts in the style of their kind: a quest's prefix, a label in place of the text, a shout's mark."""
+    """Library texts in the style of their kind: a quest's prefix, a shout's mark; a menu entry or a display's line is one
+    of its kind's own templates, filled."""
     quest = F.when(F.lower(text).startswith("quest"), text).otherwise(F.concat(F.lit("QUEST: "), text))
-    menu = D.choice(["JOURNEY", "TALENTS", "BAG", "ATLAS", "KEEP", "TUNING"], seed, "menu", at)
-    hud = D.choice([F.lit("HP 120/180"), F.lit("MP 40/75"), F.lit("LV 12"), F.lit("CHAIN x3"), text], seed, "hud", at)
+    menu, hud = (D.choice(_filled_rows(k, seed, at), seed, k, at) for k in ("menu", "hud"))
     return F.when(kind == "quest", quest).when(kind == "menu", menu).when(kind == "hud", hud).when(kind == "shout", X.shout(text)).otherwise(text)
 
 
+#: Attempts for each text: a few, and for samples that these leave short all of them.
+FEW, ATTEMPTS = 4, 40
+
+
+def _folded(made: DataFrame, count: int, attempts: int) -> DataFrame:
+    """made (sample_id, seed, category, kinds) with items, out of attempts for each kind of the sequence, in order."""
+    slots = F.flatten(F.transform("kinds", lambda k, i: F.transform(F.sequence(F.lit(0), F.lit(attempts - 1)), lambda a: F.struct((i * ATTEMPTS + a).alias("attempt"), k.alias("kind")))))
+    flat = made.select("sample_id", "seed", "category", "kinds", F.explode(slots).alias("x")).select("sample_id", "seed", "category", "kinds", "x.*")
+    tried = composed(flat, F.concat(F.lit("a"), F.col("attempt").cast("string")))
+    ok = ~has_action_word(F.col("text")) & ~has_action_word(F.col("translated_text"))
+    tries = F.array_sort(F.collect_list(F.when(ok, F.struct("attempt", "text", "translated_text", "kind"))))
+    tried = tried.groupBy("sample_id", "seed", "category", "kinds").agg(tries.alias("tries"))
+    slim = lambda a: F.struct(a["text"].alias("text"), a["translated_text"].alias("translated_text"), a["kind"].alias("kind"))
+    none = F.array().cast(T.ArrayType(ITEM))
+    wanted = lambda got, a: (F.size(got) < count) & (F.get("kinds", F.size(got)) == a["kind"]) & ~_known(got, a)
+    return tried.withColumn("items", F.aggregate("tries", none, lambda got, a: F.when(wanted(got, a), F.concat(got, F.array(slim(a)))).otherwise(got))).drop("tries")
+
+
+def _known(got: Column, a: Column) -> Column:
+    return F.exists(got, lambda g: X.fold(g["text"]) == X.fold(a["text"]))
+
+
 def fallback_items(rows: DataFrame, count: int) -> DataFrame:
     """rows (sample_id, seed, category) with items: count accepted texts, first wins by folded text, topped up.
 
-    4 * count attempts a sample are made side by side; the fold then takes, in order, an attempt whose kind is the one
-    that is wanted next, that holds no action word and that isn't known yet. What is still missing comes from the
+    Up to ATTEMPTS * count attempts a sample: the fold takes, in order, an attempt whose kind is the one that is wanted
+    next, that holds no action word and that isn't known yet. All samples get FEW attempts a text; only those that these
+    leave short are folded again with all of them, which gives the others the same. What is still missing comes from the
     library of all templates' plain sentences, in drawn order, restyled.
     """
     made = rows.select("sample_id", "seed", "category", kind_sequence(F.col("category"), F.col("seed"), count).alias("kinds"))
-    flat = made.select("sample_id", "seed", "category", F.posexplode(F.flatten(F.array_repeat("kinds", 4))).alias("attempt", "kind"))
-    tried = composed(flat, F.concat(F.lit("a"), F.col("attempt").cast("string")))
-    ok = ~has_action_word(F.col("text")) & ~has_action_word(F.col("translated_text"))
-    tried = tried.filter(ok).groupBy("sample_id", "seed", "category").agg(F.array_sort(F.collect_list(F.struct("attempt", "text", "translated_text", "kind"))).alias("tries"))
-    slim = lambda a: F.struct(a["text"].alias("text"), a["translated_text"].alias("translated_text"), a["kind"].alias("kind"))
-    none = F.array().cast(T.ArrayType(ITEM))
-    known = lambda got, a: F.exists(got, lambda g: X.fold(g["text"]) == X.fold(a["text"]))
-    tried = tried.withColumn("items", F.aggregate("tries", none, lambda got, a: F.when((F.size(got) >= count) | known(got, a), got).otherwise(F.concat(got, F.array(slim(a))))))
+    few = _folded(made, count, FEW)
+    short = F.size("items") < count
+    tried = few.filter(~short).unionByName(_folded(few.filter(short).drop("items"), count, ATTEMPTS))
     library = F.array(*[F.struct(F.lit(s.replace("{hero}", "Mira").replace("{place}", "the orchard")).alias("text"), F.lit(t.replace("{hero}", "Mira").replace("{place}", "vườn cây")).alias("translated_text")) for k in ("dialogue", "whisper", "narration") for s, t in banks.TEMPLATES[k]])
     kinds = F.when(F.col("category") == "manga", F.array(*[F.lit(k) for k in KINDS["manga"]])).otherwise(F.array(*[F.lit(k) for k in KINDS["game"]]))
     extra = F.transform(D.shuffled(library, F.col("seed"), "library"), lambda s, i: F.struct(s["text"].alias("text"), s["translated_text"].alias("translated_text"), F.element_at(kinds, (F.pmod(i + F.col("seed"), F.size(kinds)) + 1).cast("int")).alias("kind"), i.alias("i")))
-    unseen = F.filter(extra, lambda e: ~known(F.col("items"), e))
+    unseen = F.filter(extra, lambda e: ~_known(F.col("items"), e))
     styled = F.transform(unseen, lambda e: F.struct(restyled(e["text"], e["kind"], F.col("seed"), e["i"]).alias("text"), e["translated_text"].alias("translated_text"), e["kind"].alias("kind")))
     topped = F.concat("items", F.slice(styled, F.lit(1), F.greatest(F.lit(count) - F.size("items"), F.lit(0))))
     return tried.select("sample_id", "seed", "category", topped.alias("items"))

@@ -11,6 +11,8 @@ from ..functions import geometry as G
 from ..functions import text as T
 from ..operators import banks
 from ..operators import content as C
+from ..operators import layout as L
+from ..operators import validate as W
 from ..operators import views as V
 
 QUERIES: dict = {}
@@ -174,19 +176,31 @@ _PAIR_SQL = f"""WITH b AS (SELECT p_partkey, p_size, {WHOLE_SQL} FROM part)
     FROM b a JOIN b c ON a.p_size = c.p_size AND a.p_partkey < c.p_partkey"""
 
 
+#: Boxes of a page meet in cells of about the largest box's size, so only neighbours are compared.
+CELL = 110
+
+
 def _pairs(spark, d):
+    """Pairs of boxes of a page that overlap, each once: in the cell that holds the corner of what they share."""
     b = whole_boxes(spark, d).select("p_partkey", "p_size", "b")
-    return b.alias("a").join(b.alias("c"), (F.col("a.p_size") == F.col("c.p_size")) & (F.col("a.p_partkey") < F.col("c.p_partkey"))).select("a.p_size", F.col("a.p_partkey").alias("a_key"), F.col("c.p_partkey").alias("b_key"), G.overlap(F.col("a.b"), F.col("c.b")).alias("o"))
+    cells = lambda low, high: F.sequence(F.floor(F.col(f"b.{low}") / CELL), F.floor((F.col(f"b.{high}") - 1) / CELL))
+    b = b.withColumn("cx", F.explode(cells("x1", "x2"))).withColumn("cy", F.explode(cells("y1", "y2")))
+    a, c = b.alias("a"), b.alias("c")
+    same = (F.col("a.p_size") == F.col("c.p_size")) & (F.col("a.cx") == F.col("c.cx")) & (F.col("a.cy") == F.col("c.cy")) & (F.col("a.p_partkey") < F.col("c.p_partkey"))
+    corner = (F.floor(F.greatest("a.b.x1", "c.b.x1") / CELL) == F.col("a.cx")) & (F.floor(F.greatest("a.b.y1", "c.b.y1") / CELL) == F.col("a.cy"))
+    return a.join(c, same & corner).select("a.p_size", F.col("a.p_partkey").alias("a_key"), F.col("c.p_partkey").alias("b_key"), G.overlap(F.col("a.b"), F.col("c.b")).alias("o")).filter("o > 0")
 
 
 @query(f"SELECT a_key, b_key, round(o, 6) AS overlap FROM ({_PAIR_SQL}) WHERE o > 0")
 def q11_overlap_pairs(spark, d):
-    return _pairs(spark, d).filter("o > 0").select("a_key", "b_key", F.round("o", 6).alias("overlap"))
+    return _pairs(spark, d).select("a_key", "b_key", F.round("o", 6).alias("overlap"))
 
 
 @query(f"SELECT p_size, round(max(o), 6) AS max_overlap FROM ({_PAIR_SQL}) GROUP BY p_size")
 def q12_max_overlap_per_page(spark, d):
-    return _pairs(spark, d).groupBy("p_size").agg(F.round(F.max("o"), 6).alias("max_overlap"))
+    pages = read(spark, d, "part").groupBy("p_size").agg(F.count("*").alias("n")).filter("n > 1").select("p_size")
+    found = _pairs(spark, d).groupBy("p_size").agg(F.round(F.max("o"), 6).alias("max_overlap"))
+    return pages.join(found, "p_size", "left").select("p_size", F.coalesce("max_overlap", F.lit(0.0)).alias("max_overlap"))
 
 
 @query(f"SELECT p_brand, min(x1) AS x1, min(y1) AS y1, max(x2) AS x2, max(y2) AS y2 FROM (SELECT p_brand, {WHOLE_SQL} FROM part) GROUP BY p_brand")
@@ -378,16 +392,18 @@ def q37_distinct_groups(spark, d):
 
 
 @query("""WITH have AS (SELECT conv_id, count(*) AS n FROM conversations GROUP BY conv_id),
-    library AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS i FROM benchmark ORDER BY item_id LIMIT 12),
+    library AS (SELECT item_id, row_number() OVER (ORDER BY item_id) - 1 AS i FROM benchmark),
     ranked AS (SELECT h.conv_id, h.n, l.item_id, row_number() OVER (PARTITION BY h.conv_id ORDER BY md5(concat_ws('|', h.conv_id::VARCHAR, l.item_id::VARCHAR))) AS r FROM have h, library l)
     SELECT conv_id, 'own' AS origin, turn AS item FROM conversations UNION ALL SELECT conv_id, 'library', item_id FROM ranked WHERE r <= 8 - n""")
 def q38_top_up_union(spark, d):
-    """Each conversation is topped up to eight items by a sample without replacement of a library of twelve."""
+    """Each conversation is topped up to eight items by a sample without replacement of all benchmark items: a row an
+    item that could be wanted would be all pairs, so each conversation draws from the library's array, which is one row."""
     own = read(spark, d, "conversations")
-    library = [r.item_id for r in read(spark, d, "benchmark").select("item_id").orderBy("item_id").limit(12).collect()]
-    have = own.groupBy("conv_id").agg(F.count("*").alias("n"))
-    sample = F.transform(F.array_sort(F.transform(F.array(*[F.lit(i) for i in library]), lambda i: F.struct(F.md5(F.concat_ws("|", F.col("conv_id").cast("string"), i.cast("string")).cast("binary")).alias("k"), i.alias("item")))), lambda s: s["item"])
-    more = have.select("conv_id", F.lit("library").alias("origin"), F.explode(F.slice(sample, F.lit(1), F.greatest(8 - F.col("n"), F.lit(0)).cast("int"))).alias("item"))
+    have = own.groupBy("conv_id").agg(F.count("*").alias("n")).filter("n < 8")
+    library = read(spark, d, "benchmark").agg(F.collect_list("item_id").alias("library"))
+    ranked = F.array_sort(F.transform("library", lambda i: F.struct(F.md5(F.concat_ws("|", F.col("conv_id").cast("string"), i.cast("string")).cast("binary")).alias("k"), i.alias("item"))))
+    short = have.withColumn("one", F.lit(1)).join(F.broadcast(library.withColumn("one", F.lit(1))), "one")
+    more = short.select("conv_id", F.lit("library").alias("origin"), F.explode(F.transform(F.slice(ranked, F.lit(1), (8 - F.col("n")).cast("int")), lambda s: s["item"])).alias("item"))
     return own.select("conv_id", F.lit("own").alias("origin"), F.col("turn").alias("item")).unionByName(more)
 
 
@@ -412,3 +428,123 @@ def q40_error_report(spark, d):
     chat = bad.select(*row(2, 5, F.lit(0), F.concat(name, F.lit(": chat must have user and assistant messages"))))
     order = Window.partitionBy("phase", "doc_id").orderBy("view_ord", "item", "message")
     return vlm.unionByName(ocr).unionByName(chat).select(F.row_number().over(order).cast(BIG).alias("place"), "phase", "doc_id", "message")
+
+
+@query("SELECT c_custkey, lower(upper(c_name || ' ÀÉß')) AS folded, c_mktsegment AS stripped, c_acctbal < 0 AS is_blank FROM customer")
+def q41_fold_strip(spark, d):
+    """Case folding, and white space of any script off both ends."""
+    c = read(spark, d, "customer")
+    around = F.concat(F.lit("\u00a0 \t"), F.col("c_mktsegment"), F.lit("\u3000\n\u0085"))
+    return c.select("c_custkey", T.fold(F.concat("c_name", F.lit(" ÀÉß"))).alias("folded"), T.strip(around).alias("stripped"), T.blank(F.when(F.col("c_acctbal") < 0, "\u2003 ").otherwise(F.col("c_name"))).alias("is_blank"))
+
+
+@query("""SELECT o_orderkey, CASE WHEN s IS NULL OR s < 0 THEN '--:--' WHEN s >= 3600 THEN printf('%d:%02d:%02d', s // 3600, s % 3600 // 60, s % 60) ELSE printf('%02d:%02d', s // 60, s % 60) END AS clock
+    FROM (SELECT o_orderkey, CASE WHEN o_orderkey % 10 = 0 THEN NULL WHEN o_orderkey % 10 = 1 THEN -1 ELSE floor(o_totalprice / 9)::BIGINT END AS s FROM orders)""")
+def q42_clock(spark, d):
+    s = F.when(F.col("o_orderkey") % 10 == 0, None).when(F.col("o_orderkey") % 10 == 1, -1).otherwise(F.floor(F.col("o_totalprice") / 9))
+    return read(spark, d, "orders").select("o_orderkey", T.clock(s).alias("clock"))
+
+
+_PAGE_SQL = f"SELECT p_partkey, p_partkey // 8 AS page, {WHOLE_SQL} FROM part"
+
+
+@query(f"""WITH b AS ({_PAGE_SQL}), o AS (
+        SELECT a.page, a.p_partkey AS k, CASE WHEN least((a.x2 - a.x1) * (a.y2 - a.y1), (c.x2 - c.x1) * (c.y2 - c.y1)) > 0 THEN greatest(least(a.x2, c.x2) - greatest(a.x1, c.x1), 0) * greatest(least(a.y2, c.y2) - greatest(a.y1, c.y1), 0)
+               / least((a.x2 - a.x1) * (a.y2 - a.y1), (c.x2 - c.x1) * (c.y2 - c.y1))::DOUBLE ELSE 0 END AS o FROM b a JOIN b c ON a.page = c.page AND a.p_partkey < c.p_partkey),
+    f AS (SELECT page, min(p_partkey) AS k FROM b GROUP BY page)
+    SELECT f.page, round(coalesce(max(o), 0), 6) AS any_two, round(coalesce(max(o) FILTER (o.k = f.k), 0), 6) AS first_and_others FROM f LEFT JOIN o ON o.page = f.page GROUP BY f.page""")
+def q43_overlap_in_sets(spark, d):
+    """Pages of eight boxes: the largest overlap of any two, and of the first with the others."""
+    page = whole_boxes(spark, d).groupBy(F.floor(F.col("p_partkey") / 8).alias("page")).agg(F.array_sort(F.collect_list(F.struct("p_partkey", "b"))).alias("s"))
+    boxes = page.select("page", F.transform("s", lambda x: x["b"]).alias("boxes"))
+    return boxes.select("page", F.round(G.max_pairwise_overlap(F.col("boxes")), 6).alias("any_two"), F.round(G.max_overlap(F.get("boxes", 0), F.slice("boxes", 2, 8)), 6).alias("first_and_others"))
+
+
+def _records(spark, d):
+    """Conversations as samples, with the columns that the views read."""
+    r = _conversation_lines(spark, d).withColumns({"id": F.concat("category", F.lit("_"), F.col("conv_id").cast("string")), "width": F.lit(640), "height": F.lit(480)})
+    return r.withColumns({"image_file": F.concat(F.lit("images/"), F.col("id"), F.lit(".png")), "metadata": F.struct(F.lit("pillow").alias("renderer"), F.size("content").alias("rendered_line_count"))})
+
+
+_ID = f"{_CAT} || '_' || conv_id"
+_LINE = f"{{'id': (turn + 1)::INT, 'group_id': 'g_' || turn, 'bbox_2d': {_BOX}, 'text': text, 'translated_text': upper(role), 'source_language': 'en', 'kind': role}}"
+
+
+@query(f"""SELECT conv_id, to_json({{'id': any_value({_ID}), 'category': any_value({_CAT}), 'image': {{'file_name': 'images/' || any_value({_ID}) || '.png', 'width': 640, 'height': 480}},
+    'content': list({_LINE} ORDER BY turn), 'metadata': {{'renderer': 'pillow', 'rendered_line_count': count(*)}}}})::VARCHAR AS canonical FROM conversations GROUP BY conv_id""")
+def q44_canonical_view(spark, d):
+    return _records(spark, d).select("conv_id", V.json(V.canonical()).alias("canonical"))
+
+
+@query(f"""SELECT conv_id, to_json({{'id': any_value({_ID}), 'image': 'images/' || any_value({_ID}) || '.png', 'output': list({{'id': (turn + 1)::INT, 'text': text, 'translated_text': upper(role)}} ORDER BY turn)}})::VARCHAR AS wrapped,
+    to_json({{'canonical': 'annotations/canonical/' || any_value({_ID}) || '.json', 'vlm': 'annotations/vlm/' || any_value({_ID}) || '.json', 'ocr': 'annotations/ocr/' || any_value({_ID}) || '.json', 'trans': 'annotations/trans/' || any_value({_ID}) || '.json'}})::VARCHAR AS paths
+    FROM conversations GROUP BY conv_id""")
+def q45_wrapped_view(spark, d):
+    return _records(spark, d).select("conv_id", V.json(V.wrapped(V.trans())).alias("wrapped"), V.json(V.paths()).alias("paths"))
+
+
+@query(f"""WITH c AS (SELECT DISTINCT conv_id, {_ID} AS id FROM conversations)
+    SELECT conv_id, 2 AS phase, id || CASE conv_id % 5 WHEN 1 THEN ': chat must have user and assistant messages' WHEN 2 THEN ': assistant content is not JSON' ELSE ': chat assistant JSON does not match vlm output' END AS message
+    FROM c WHERE conv_id % 5 IN (1, 2) OR conv_id % 5 = 3 AND conv_id % 7 <> 0""")
+def q46_chat_errors(spark, d):
+    """Chat records with faults planted by their number; a sample without a view is none."""
+    r = _records(spark, d)
+    whole = V.chat()
+    record = F.when(F.col("conv_id") % 5 == 1, F.concat(F.lit('{"messages": [], "id": "'), F.col("id"), F.lit('"}'))).when(F.col("conv_id") % 5 == 2, F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "messages": [{}, {"content": "not JSON"}]}')))
+    record = record.when(F.col("conv_id") % 5 == 3, F.concat(F.lit('{"id": "'), F.col("id"), F.lit('", "messages": [{}, {"content": "{}"}]}'))).otherwise(whole)
+    found = W.chat_errors(r.select(F.col("conv_id").alias("chat_ord"), record.alias("record")), r.filter("conv_id % 7 <> 0").select("id", V.json(V.vlm()).alias("vlm")))
+    return found.select(F.col("sample_ord").alias("conv_id"), "phase", "message")
+
+
+@query(f"""WITH b AS (SELECT p_partkey AS k, 'p_' || p_partkey AS id, p_name, {WHOLE_SQL} FROM part), s AS (
+        SELECT *, CASE WHEN k % 7 = 0 THEN 'comic' ELSE 'game' END AS category, CASE WHEN k % 6 = 0 THEN x1 ELSE x2 END AS right_, CASE WHEN k % 8 = 0 THEN ' ' ELSE p_name END AS said FROM b),
+    e AS (SELECT *, '[' || x1 || ', ' || y1 || ', ' || right_ || ', ' || y2 || ']' AS box, (right_ > x1 AND right_ <= 560 AND y2 <= 560) AS fits FROM s)
+    SELECT k, 0 AS view_ord, 0 AS item, id || ': missing image images/' || id || '.png' AS message FROM e WHERE k % 9 = 0
+    UNION ALL SELECT k, 1, 0, id || ':vlm: category must be manga or game' FROM e WHERE k % 9 <> 0 AND k % 7 = 0
+    UNION ALL SELECT k, 1, 1, id || ':vlm:content[1]: invalid bbox_2d ' || box FROM e WHERE k % 9 <> 0 AND NOT fits
+    UNION ALL SELECT k, 1, 1, id || ':vlm:content[1]: missing translated_text' FROM e WHERE k % 9 <> 0 AND k % 8 = 0
+    UNION ALL SELECT k, 2, 1, id || ':ocr[1]: invalid bbox_2d ' || box FROM e WHERE k % 9 <> 0 AND k % 11 <> 0 AND NOT fits
+    UNION ALL SELECT k, 3, 1, id || ':trans[1]: missing translated_text' FROM e WHERE k % 9 <> 0 AND k % 8 = 0
+    UNION ALL SELECT k, 4, 0, id || ':canonical: mixed source languages [''en'', ''ja'']' FROM e WHERE k % 9 <> 0 AND k % 13 = 0
+    UNION ALL SELECT k, 5, 0, id || ': output line counts differ' FROM e WHERE k % 9 <> 0 AND k % 11 = 0""")
+def q47_sample_errors(spark, d):
+    """Samples of one line with faults planted by their number: no image, category, box, blank translation, count, language."""
+    k, b = F.col("p_partkey"), F.col("b")
+    s = whole_boxes(spark, d).select("p_partkey", "b").join(read(spark, d, "part").select("p_partkey", "p_name"), "p_partkey")
+    box = F.array(b["x1"], b["y1"], F.when(k % 6 == 0, b["x1"]).otherwise(b["x2"]), b["y2"]).alias("bbox_2d")
+    text, said = F.col("p_name").alias("text"), F.when(k % 8 == 0, " ").otherwise(F.col("p_name")).alias("translated_text")
+    category = F.when(k % 7 == 0, "comic").otherwise("game").alias("category")
+    vlm = F.to_json(F.struct(category, F.array(F.struct(box, text, said)).alias("content")))
+    ocr = F.when(k % 11 == 0, "[]").otherwise(F.to_json(F.array(F.struct(box, text))))
+    trans = F.to_json(F.array(F.struct(F.lit(1).alias("id"), text, said)))
+    line = lambda language: F.struct(text, F.lit("x").alias("translated_text"), language.alias("source_language"), F.lit("hud").alias("kind"))
+    canonical = F.to_json(F.struct(F.lit("game").alias("category"), F.array(line(F.lit("en")), line(F.when(k % 13 == 0, "ja").otherwise("en"))).alias("content")))
+    name = F.concat(F.lit("p_"), k.cast("string"))
+    size = F.when(k % 9 != 0, 560)
+    samples = s.select(k.alias("sample_ord"), name.alias("id"), F.concat(F.lit("images/"), name, F.lit(".png")).alias("image"), size.alias("width"), size.alias("height"), vlm.alias("vlm"), ocr.alias("ocr"), trans.alias("trans"), canonical.alias("canonical"))
+    return W.sample_errors(samples).select(F.col("sample_ord").alias("k"), "view_ord", "item", "message")
+
+
+@query("SELECT p_partkey, length(p_name) * 56 + 3 * 100 AS hundredths, floor(p_size * 1000 / 20)::INT AS room FROM part")
+def q48_measure(spark, d):
+    """Width of a text by the engine's metric (three wide characters added), and the room of a slot at a font size."""
+    return read(spark, d, "part").select("p_partkey", L.units(F.concat("p_name", F.lit("日本語"))).cast(BIG).alias("hundredths"), L.room(F.col("p_size") * 10, F.lit(20)).alias("room"))
+
+
+@query("SELECT a.conv_id, list_sort(list_intersect(a.roles, b.roles)) AS shared FROM (SELECT conv_id, list(DISTINCT role) AS roles FROM conversations GROUP BY conv_id) a JOIN (SELECT conv_id, list(DISTINCT role) AS roles FROM conversations WHERE turn >= 2 GROUP BY conv_id) b ON a.conv_id = b.conv_id")
+def q49_shared_values(spark, d):
+    """Values that two sets have in common: roles of a conversation that speak again from the third turn on."""
+    per = read(spark, d, "conversations").groupBy("conv_id").agg(F.collect_set("role").alias("a"), F.collect_set(F.when(F.col("turn") >= 2, F.col("role"))).alias("b"))
+    return per.filter(F.size("b") > 0).select("conv_id", F.array_sort(F.array_intersect("a", "b")).alias("shared"))
+
+
+@query("SELECT x.index, x.seed, y.texts, y.kinds_kept, y.different FROM (SELECT NULL::BIGINT AS index, NULL::BIGINT AS seed) x, (SELECT 0::BIGINT AS texts, true AS kinds_kept, true AS different) y WHERE false")
+def q50_fallback_items(spark, d):
+    """Faults of generated items, a row a sample: too few or too many, a kind out of its order, a text twice, an action
+    word. Every document is a sample of twelve; the rules promise none."""
+    rows = C.scaffold(read(spark, d, "documents").select(F.col("doc_id").alias("index")).dropDuplicates(["index"]), SEED)
+    made = C.fallback_items(rows.select("sample_id", "seed", "category"), 12).join(rows.select("sample_id", "index"), "sample_id")
+    kinds = F.transform("items", lambda x: x["kind"])
+    texts = F.transform("items", lambda x: T.fold(x["text"]))
+    checks = made.select("index", "seed", F.size("items").cast(BIG).alias("texts"), (kinds == C.kind_sequence(F.col("category"), F.col("seed"), 12)).alias("kinds_kept"), (F.size(F.array_distinct(texts)) == F.size(texts)).alias("different"), F.exists("items", lambda x: C.has_action_word(x["text"]) | C.has_action_word(x["translated_text"])).alias("loud"))
+    return checks.filter("texts <> 12 OR NOT kinds_kept OR NOT different OR loud").drop("loud")
