@@ -66,9 +66,14 @@ def generate_records(spark: SparkSession, count: int = DEFAULT_COUNT, seed: int
 
 def generate_dataset(
     spark: SparkSession, output_dir: str, count: int = DEFAULT_COUNT, seed: int = DEFAULT_SEED, *, augment: bool = True, clean: bool = False, difficulty: str = "normal", blocks_per_sample: int | None = None,
-    content_provider: str = "fallback", content_model: str | None = None, fetch: content.Provider | None = None, game_renderer: str = "auto", sample_files: bool = False, use_cache: bool = True, progress: Callable[[dict], None] | None = None,
+    content_provider: str | None = None, content_model: str | None = None, fetch: content.Provider | None = None, game_renderer: str = "auto", sample_files: bool = False, use_cache: bool = True, progress: Callable[[dict], None] | None = None,
 ) -> dict:
-    """Generate, write and validate a data set; returns its summary, which is also written."""
+    """Generate, write and validate a data set; returns its summary, which is also written.
+
+    Provider and model that aren't given are those of the session (glyphmill.content.provider and .model), if it has any.
+    """
+    content_provider = content_provider or spark.conf.get("glyphmill.content.provider", "fallback")
+    content_model = content_model or spark.conf.get("glyphmill.content.model", None)
     if content_provider not in PROVIDERS:
         raise ValueError(f"content provider must be one of {', '.join(PROVIDERS)}")
     if game_renderer not in RENDERERS:
@@ -87,6 +92,9 @@ def generate_dataset(
         new.select(*content.PAYLOAD.names).write.mode("append").parquet(kept)
     records = records.repartitionByRange(F.substring_index("id", "_", -1)).sortWithinPartitions(F.substring_index("id", "_", -1)).cache()
     try:
+        for view in files.VIEWS:  # files of an earlier run would be taken for this one's
+            if not sample_files and files.exists(spark, f"{out}/annotations/{view}"):
+                fs.delete(_path(spark, f"{out}/annotations/{view}")[1], True)
         files.write_views(records, out)
         images.write_images(records, out)
         if sample_files:

@@ -16,7 +16,7 @@ def main(argv: list[str] | None = None) -> int:
     g.add_argument("--seed", type=int, default=1337)
     g.add_argument("--difficulty", choices=["normal", "dense"], default="normal")
     g.add_argument("--blocks-per-sample", type=int)
-    g.add_argument("--content-provider", default="fallback")
+    g.add_argument("--content-provider")
     g.add_argument("--content-model")
     g.add_argument("--game-renderer", default="auto")
     g.add_argument("--no-augment", action="store_true")

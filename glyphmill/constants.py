@@ -18,5 +18,12 @@ KIND_CYCLE = {"manga": ("dialogue", "dialogue", "whisper", "shout", "narration")
 # Slots of each scene style: of a normal one, and first and last count of a dense one.
 DENSE_STYLES = {"hud": (16, 24), "dialogue": (10, 18), "nameplate": (14, 20), "crafting": (15, 22), "battle": (12, 22), "vendor": (12, 22), "map": (11, 21), "party": (12, 22)}
 NORMAL_STYLES, NORMAL_SLOTS = ("camp", "harbor", "tower"), 5
+# Weights of a freely drawn kind, in the order of KINDS.
+KIND_WEIGHTS = {"manga": (5, 2, 2, 2), "game": (3, 3, 4, 2, 2)}
+# Actors in a scene by style; the second table holds what dense scenes have instead. Other styles have one.
+ACTORS = {"dialogue": 2, "nameplate": 3, "crafting": 2, "hud": 1, "battle": 3, "vendor": 2, "map": 1, "party": 4}
+DENSE_ACTORS = {"nameplate": 5, "hud": 2}
+# Textures that every panel has, and those that a coin decides.
+TEXTURES, COIN_TEXTURES = ("paper_grain", "edge_shadow"), ("screentone", "hatching", "dust_scratches")
 # Panels of each page layout.
 NORMAL_PANELS, DENSE_PANELS = (4, 4, 5, 6, 6), (8, 7, 6, 8, 5)

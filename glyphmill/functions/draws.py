@@ -32,6 +32,11 @@ def choice(values, *parts) -> Column:
     return F.element_at(F.array(*[v if isinstance(v, Column) else F.lit(v) for v in values]), (draw(len(values), *parts) + 1).cast("int"))
 
 
+def weighted(values, weights, *parts) -> Column:
+    """One of a short list of constants, as often as its whole weight says."""
+    return choice([v for v, w in zip(values, weights) for _ in range(w)], *parts)
+
+
 def shuffled(values: Column, *parts) -> Column:
     """An array column in a drawn order, inside its row."""
     keyed = F.transform(values, lambda v, i: F.struct(F.md5(F.concat_ws("|", *[p.cast("string") if isinstance(p, Column) else F.lit(str(p)) for p in parts], i.cast("string")).cast("binary")).alias("k"), v.alias("v")))

@@ -48,6 +48,14 @@ def escape_html(text: Column) -> Column:
     return text
 
 
+def url_quoted(text: Column) -> Column:
+    """Percent-encoded UTF-8; letters, digits, slashes and - . _ ~ stay."""
+    out = F.url_encode(text)
+    for java, plain in (("+", "%20"), ("*", "%2A"), ("%7E", "~"), ("%2F", "/")):
+        out = F.replace(out, F.lit(java), F.lit(plain))
+    return out
+
+
 def braces(text: Column) -> Column:
     """From the first { to the last }; null where there is none."""
     found = F.regexp_extract(text, r"(?s)\{.*\}", 0)
@@ -60,13 +68,9 @@ def tokens(text: Column) -> Column:
     return F.when(F.contains(text, F.lit(" ")), words).otherwise(F.filter(F.split(text, ""), lambda c: c != ""))
 
 
-def wrapped(text: Column, max_width, max_lines: int, width=F.length) -> Column:
-    """Greedy lines of at most max_width; the state of the fold is the lines so far, by line feeds.
-
-    The first word that overflows the last but one line is the last line alone, and what follows it is dropped; a last
-    line that is too wide ends in dots.
-    """
-    limit = max_width if isinstance(max_width, Column) else F.lit(max_width)
+def broken(text: Column, limit: Column, max_lines: int, width=F.length) -> Column:
+    """Greedy lines of at most limit; the state of the fold is the lines so far, by line feeds. The first word that
+    overflows the last but one line is the last line alone, and what follows it is dropped."""
     separator = F.when(F.contains(text, F.lit(" ")), F.lit(" ")).otherwise(F.lit(""))
     full = max(1, max_lines - 1)
 
@@ -77,7 +81,13 @@ def wrapped(text: Column, max_width, max_lines: int, width=F.length) -> Column:
 
     # A token is one character or more, so no others can reach a line that stays.
     some = F.slice(tokens(text), F.lit(1), (max_lines * (limit + 1)).cast("int"))
-    lines = F.slice(F.split(F.aggregate(some, F.lit(""), step), "\n"), 1, max_lines)
+    return F.slice(F.split(F.aggregate(some, F.lit(""), step), "\n"), 1, max_lines)
+
+
+def wrapped(text: Column, max_width, max_lines: int, width=F.length) -> Column:
+    """The lines of broken(); a last line that is too wide ends in dots. No text, no lines."""
+    limit = max_width if isinstance(max_width, Column) else F.lit(max_width)
+    lines = broken(text, limit, max_lines, width)
     last = F.element_at(lines, -1)
     shorter = F.filter(F.sequence(F.lit(1), F.greatest(F.length(last) - 1, F.lit(1))), lambda n: (n == 1) | (width(F.concat(F.substring(last, F.lit(1), n), F.lit("..."))) <= limit))
     cut = F.when((width(last) <= limit) | (F.length(last) <= 1), last).otherwise(F.concat(F.substring(last, F.lit(1), F.array_max(shorter)), F.lit("...")))

@@ -25,10 +25,11 @@ def parameters(seed: Column, enabled: bool) -> Column:
 
 
 def apply(lines: DataFrame, enabled: bool) -> DataFrame:
-    """lines with aug (parameters) and moved boxes; without enabled, boxes are untouched."""
+    """lines with aug (parameters and the map's six numbers) and moved boxes; without enabled, boxes are untouched."""
     out = lines.withColumn("aug", parameters(F.col("seed"), enabled))
     if not enabled:
-        return out
+        return out.withColumn("aug", F.col("aug").withField("matrix", F.lit(None).cast("array<double>")))
     a = F.col("aug")
     matrix = G.affine(a["angle"], a["scale"], a["tx"], a["ty"], F.col("width"), F.col("height"))
-    return out.withColumn("b", G.clamp(G.transformed(F.col("b"), matrix), F.col("width"), F.col("height")))
+    kept = F.array(*[F.bround(x, 6) for x in matrix])
+    return out.withColumns({"b": G.clamp(G.transformed(F.col("b"), matrix), F.col("width"), F.col("height")), "aug": a.withField("matrix", kept)})

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..constants import ACTION_WORDS, CONTENT_SCHEMA_VERSION, DEFAULT_MODELS, KIND_CYCLE, KINDS, LANGUAGES, PROVIDERS, SEED_STEP
+from ..constants import ACTION_WORDS, CONTENT_SCHEMA_VERSION, DEFAULT_MODELS, KIND_CYCLE, KIND_WEIGHTS, KINDS, LANGUAGES, PROVIDERS, SEED_STEP
 from ..functions import draws as D
 from ..functions import text as X
 from . import banks
@@ -48,6 +48,19 @@ def kind_sequence(category: Column, seed: Column, count: int) -> Column:
     return F.slice(F.concat(*cycles), 1, count)
 
 
+def drawn_kind(category: Column, *parts) -> Column:
+    """A kind by weight, for an item that has no place in a sequence."""
+    drawn = {c: D.weighted(KINDS[c], KIND_WEIGHTS[c], *parts) for c in KINDS}
+    return F.when(category == "manga", drawn["manga"]).otherwise(drawn["game"])
+
+
+def prompt(category: Column, language: Column, count: Column) -> Column:
+    """What a provider is asked for; the reply is read from its first brace to its last."""
+    kinds = F.when(category == "manga", ", ".join(KINDS["manga"])).otherwise(", ".join(KINDS["game"]))
+    ask = "Make %d short text items for a %s picture, in the language %s, each with a Vietnamese translation. Allowed kinds: %s. No sound words. Reply with JSON alone: {\"items\": [{\"text\": ..., \"translated_text\": ..., \"kind\": ...}]}"
+    return F.format_string(ask, count, category, language, kinds)
+
+
 def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     templates = spark.createDataFrame(banks.template_rows(), "kind string, t bigint, source string, target string")
     words = spark.createDataFrame(banks.bank_rows(), "name string, i bigint, value string, value_vi string")

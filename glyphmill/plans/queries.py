@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..constants import KIND_CYCLE, SEED_STEP
+from ..constants import ACTORS, COIN_TEXTURES, DENSE_ACTORS, KIND_CYCLE, KIND_WEIGHTS, KINDS, SEED_STEP, TEXTURES
 from ..functions import draws as D
 from ..functions import geometry as G
 from ..functions import text as T
@@ -14,6 +14,7 @@ from ..operators import content as C
 from ..operators import layout as L
 from ..operators import validate as W
 from ..operators import views as V
+from ..streaming import watch as S
 
 QUERIES: dict = {}
 SQL: dict[str, str] = {}
@@ -548,3 +549,90 @@ def q50_fallback_items(spark, d):
     texts = F.transform("items", lambda x: T.fold(x["text"]))
     checks = made.select("index", "seed", F.size("items").cast(BIG).alias("texts"), (kinds == C.kind_sequence(F.col("category"), F.col("seed"), 12)).alias("kinds_kept"), (F.size(F.array_distinct(texts)) == F.size(texts)).alias("different"), F.exists("items", lambda x: C.has_action_word(x["text"]) | C.has_action_word(x["translated_text"])).alias("loud"))
     return checks.filter("texts <> 12 OR NOT kinds_kept OR NOT different OR loud").drop("loud")
+
+
+_DRAWN = {c: [k for k, w in zip(KINDS[c], KIND_WEIGHTS[c]) for _ in range(w)] for c in KINDS}
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 2 = 0 THEN " + " ELSE ".join(f"{_DRAWN[c]}[{sql_draw(len(_DRAWN[c]), 'doc_id::VARCHAR', chr(39) + 'kind' + chr(39))} + 1]" for c in ("manga", "game")) + " END AS kind FROM documents")
+def q51_weighted_kind(spark, d):
+    docs = read(spark, d, "documents")
+    return docs.select("doc_id", C.drawn_kind(C.category_of(F.col("doc_id")), F.col("doc_id"), "kind").alias("kind"))
+
+
+@query("SELECT page_id, replace(url_encode(url || ' é+*~/' || chr(38)), '%2F', '/') AS quoted FROM pages")
+def q52_url_quote(spark, d):
+    return read(spark, d, "pages").select("page_id", T.url_quoted(F.concat("url", F.lit(" é+*~/&"))).alias("quoted"))
+
+
+@query("""SELECT o_orderkey, round(rate, 6) AS rate, CASE WHEN rate > 0 THEN floor((50 - done) / rate)::BIGINT END AS seconds_left
+    FROM (SELECT o_orderkey, done, done / greatest(took, 0.001) AS rate FROM (SELECT o_orderkey, (o_orderkey % 50)::DOUBLE AS done, (o_orderkey % 7)::DOUBLE * 0.25 AS took FROM orders))""")
+def q53_pace(spark, d):
+    done, took = F.col("o_orderkey") % 50, (F.col("o_orderkey") % 7) * 0.25
+    rate, left = S.pace(done.cast("double"), F.lit(50), took)
+    return read(spark, d, "orders").select("o_orderkey", F.round(rate, 6).alias("rate"), F.floor(left).cast(BIG).alias("seconds_left"))
+
+
+@query("SELECT conv_id, place, (100 * place)::BIGINT AS x, text FROM (SELECT conv_id, text, row_number() OVER (PARTITION BY conv_id ORDER BY turn, text) - 1 AS place FROM conversations) WHERE place <= conv_id % 3")
+def q54_box_line_zip(spark, d):
+    """One to three boxes for each conversation meet its lines by place."""
+    per = read(spark, d, "conversations").groupBy("conv_id").agg(F.array_sort(F.collect_list(F.struct("turn", "text"))).alias("lines"))
+    boxes = F.transform(F.sequence(F.lit(0).cast(BIG), F.col("conv_id") % 3), lambda i: i * 100)
+    z = per.select("conv_id", F.explode(L.zipped(boxes, F.transform("lines", lambda x: x["text"]))).alias("z"))
+    return z.select("conv_id", F.col("z.place").cast(BIG).alias("place"), F.col("z.box").cast(BIG).alias("x"), F.col("z.line").alias("text"))
+
+
+_PART = lambda name: f"floor(600 * ({sql_draw(31, repr(name), 'page::VARCHAR', 't::VARCHAR')} + 30) / 100)::INT"
+
+
+@query(f"""WITH b AS ({_PAGE_SQL}), s AS (SELECT page, t, {_PART('rw')} AS w, {_PART('rh')} AS h FROM (SELECT DISTINCT page FROM b), range({L.PROP_TRIES}) r(t)),
+    c AS (SELECT page, t, x AS rx1, y AS ry1, x + w AS rx2, y + h AS ry2 FROM (SELECT *, ({sql_draw("(601 - w)", "'rx'", "page::VARCHAR", "t::VARCHAR")})::INT AS x, ({sql_draw("(601 - h)", "'ry'", "page::VARCHAR", "t::VARCHAR")})::INT AS y FROM s)),
+    o AS (SELECT c.page, c.t, any_value(struct_pack(x1 := rx1, y1 := ry1, x2 := rx2, y2 := ry2)) AS r,
+                 round(max(greatest(least(rx2, x2) - greatest(rx1, x1), 0) * greatest(least(ry2, y2) - greatest(ry1, y1), 0) / least((rx2 - rx1) * (ry2 - ry1), (x2 - x1) * (y2 - y1))::DOUBLE) - 0.05::DOUBLE * any_value((rx2 - rx1) * (ry2 - ry1)) / 360000::DOUBLE, 9) AS score
+          FROM c JOIN b ON b.page = c.page GROUP BY c.page, c.t)
+    SELECT page, r.x1 AS x1, r.y1 AS y1, r.x2 AS x2, r.y2 AS y2 FROM (SELECT page, arg_min(r, struct_pack(s := score, t := t)) AS r FROM o GROUP BY page)""")
+def q55_clear_rect(spark, d):
+    """Pages of eight boxes: of the drawn rectangles the one that they leave most room."""
+    page = whole_boxes(spark, d).groupBy(F.floor(F.col("p_partkey") / 8).alias("page")).agg(F.collect_list("b").alias("taken"))
+    return page.select("page", L.clear_rect(G.box(0, 0, 600, 600), F.col("taken"), L.PROP_TRIES, F.col("page")).alias("r")).select("page", "r.*")
+
+
+_WIDE = "[\u1100-\u11ff\u2e80-\ua4cf\uac00-\ud7a3\uf900-\ufaff\ufe30-\ufe4f\uff00-\uff60]"
+_UNITS = lambda x: f"(100 * length({x}) - 44 * length(regexp_replace({x}, '{_WIDE}', '', 'g')))"
+
+
+@query(f"""WITH c AS (SELECT conv_id, turn, text, 220 + (turn % 5) * 30 AS w, CASE WHEN contains(text, ' ') THEN ' ' ELSE '' END AS sep,
+        list_filter(CASE WHEN contains(text, ' ') THEN string_split_regex(text, '\\s+') ELSE string_split(text, '') END, lambda x: x <> '') AS words, {sql_draw(13, "'font'", "conv_id::VARCHAR", "turn::VARCHAR")} + 26 AS start FROM conversations),
+    t AS (SELECT *, floor(w * 100 / s)::BIGINT AS room FROM (SELECT *, unnest(range(start, 17, -2)) AS s FROM c)),
+    n AS (SELECT conv_id, turn, s, CASE WHEN len(words) = 0 THEN 0 ELSE len(string_split(list_reduce(words, lambda a, x: CASE WHEN length(a) - length(replace(a, chr(10), '')) >= 6 THEN a
+            WHEN {_UNITS("(string_split(a, chr(10))[-1] || sep || x)")} <= room THEN a || sep || x ELSE a || chr(10) || x END), chr(10))) END AS lines FROM t WHERE coalesce(list_max(list_transform(words, lambda x: {_UNITS("x")})), 0) <= room)
+    SELECT c.conv_id, c.turn, coalesce(max(n.s), 18)::INT AS size FROM c LEFT JOIN n ON c.conv_id = n.conv_id AND c.turn = n.turn AND n.lines <= least(5, floor(190 / greatest(n.s + 7, 24))) GROUP BY c.conv_id, c.turn""")
+def q56_font_size(spark, d):
+    """The size at which a turn fits its bubble, by wrapping it at each."""
+    c = read(spark, d, "conversations")
+    return c.select("conv_id", "turn", L.font_size(F.col("text"), 220 + (F.col("turn") % 5) * 30, F.lit(190), "normal", F.col("conv_id"), F.col("turn")).alias("size"))
+
+
+_COINS = ", ".join(f"CASE WHEN {sql_draw(100, 'doc_id::VARCHAR', repr(x), 'i::VARCHAR')} < 45 THEN '{x}' END" for x in COIN_TEXTURES)
+
+
+@query(f"""SELECT doc_id, (4 + doc_id % 3)::INT AS panel_count, array_to_string(list_sort(list_distinct(list_filter(flatten(list([{', '.join(repr(x) for x in TEXTURES)}, {_COINS}])), lambda x: x IS NOT NULL))), ',') AS patterns
+    FROM (SELECT doc_id, unnest(range(4 + doc_id % 3)) AS i FROM (SELECT DISTINCT doc_id FROM documents)) GROUP BY doc_id""")
+def q57_panel_noise(spark, d):
+    ids = read(spark, d, "documents").select("doc_id").distinct()
+    return ids.select("doc_id", L.panel_noise((4 + F.col("doc_id") % 3).cast("int"), F.col("doc_id")).alias("n")).select("doc_id", "n.panel_count", F.array_join("n.patterns", ",").alias("patterns"))
+
+
+_ACTORS = ACTORS | DENSE_ACTORS
+
+
+@query(f"SELECT p_partkey, style, CASE style {' '.join(f'WHEN {k!r} THEN {v}' for k, v in _ACTORS.items())} ELSE 1 END AS actors FROM (SELECT p_partkey, {[*_ACTORS, 'camp']}[p_partkey % 9 + 1] AS style FROM part)")
+def q58_actor_count(spark, d):
+    style = F.get(F.array(*[F.lit(x) for x in [*_ACTORS, "camp"]]), (F.col("p_partkey") % 9).cast("int"))
+    return read(spark, d, "part").select("p_partkey", style.alias("style")).withColumn("actors", L.actors(F.col("style"), "dense"))
+
+
+@query("SELECT doc_id, md5(printf('Make %d short text items for a %s picture, in the language %s, each with a Vietnamese translation. Allowed kinds: %s. No sound words. Reply with JSON alone: {\"items\": [{\"text\": ..., \"translated_text\": ..., \"kind\": ...}]}', 3 + doc_id % 5, " + CATEGORY_SQL + ", coalesce(lang, 'en'), CASE WHEN doc_id % 2 = 0 THEN '" + ", ".join(KINDS["manga"]) + "' ELSE '" + ", ".join(KINDS["game"]) + "' END)) AS digest FROM documents")
+def q59_prompt(spark, d):
+    p = C.prompt(C.category_of(F.col("doc_id")), F.coalesce("lang", F.lit("en")), 3 + F.col("doc_id") % 5)
+    return read(spark, d, "documents").select("doc_id", F.md5(p.cast("binary")).alias("digest"))

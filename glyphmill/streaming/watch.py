@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -20,6 +20,12 @@ def running_counts(manifest: DataFrame) -> DataFrame:
     return manifest.groupBy("category", "renderer").agg(F.count("*").alias("n_samples"), F.sum("line_count").alias("n_lines"))
 
 
+def pace(completed: Column, total: Column, seconds: Column) -> tuple[Column, Column]:
+    """(samples a second, seconds left); elapsed time counts as a millisecond at least, and nothing done leaves it unknown."""
+    rate = completed / F.greatest(seconds, F.lit(0.001))
+    return rate, F.when(rate > 0, (total - completed) / rate)
+
+
 def progress(manifest: DataFrame, total: int, tell: Callable[[dict], None], checkpoint: str):
     """Calls tell after each micro-batch with the samples completed so far. Returns the started query."""
     done = {"n": 0, "seen": -1}

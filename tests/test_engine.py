@@ -296,3 +296,89 @@ def test_command_line(spark, made, capsys):
     from glyphmill import cli
 
     assert cli.main(["validate", str(made[0])]) == 0 and '"error_count": 0' in capsys.readouterr().out
+
+
+# layout of pages, sample files -------------------------------------------------------------------------------------
+def test_font_size_is_the_largest_that_wraps(spark):
+    r = random.Random(5)
+    rows = [(i, " ".join("w" * r.randint(1, 11) for _ in range(r.randint(1, 25))), r.randint(90, 400), r.randint(40, 260)) for i in range(60)] + [(60, "", 200, 100), (61, "漢字だけの文章" * 9, 260, 160)]
+    df = spark.createDataFrame(rows, "i int, t string, w int, h int")
+    got = df.select("i", draws.between(26, 38, "font", F.col("i")).alias("start"), layout.font_size(F.col("t"), F.col("w"), F.col("h"), "normal", F.col("i")).alias("size")).collect()
+
+    def units(x):
+        return sum(100 if ord(c) > 0x10FF else 56 for c in x)
+
+    def fits(t, room, most):
+        words, sep = (t.split(), " ") if " " in t else (list(t), "")
+        lines, now = 0, ""
+        for w in words:
+            if units(w) > room:
+                return False
+            trial = now + sep + w if now else w
+            if units(trial) <= room:
+                now = trial
+            else:
+                lines, now = lines + 1, w
+        return lines + bool(now) <= most
+
+    for x in got:
+        _, t, w, h = rows[x.i]
+        sizes = [s for s in range(x.start, 17, -2) if fits(t, w * 100 // s, min(5, h // max(s + 7, 24)))]
+        assert x["size"] == (sizes[0] if sizes else 18), rows[x.i]
+
+
+def test_clear_rect_leaves_room(spark):
+    panel, taken = geometry.box(100, 50, 500, 450), F.array(geometry.box(100, 50, 300, 250))
+    got = spark.range(30).select(layout.clear_rect(panel, taken, layout.ART_TRIES, F.col("id")).alias("b")).collect()
+    for r in got:
+        assert 100 <= r.b.x1 < r.b.x2 <= 500 and 50 <= r.b.y1 < r.b.y2 <= 450
+        wide, high = min(r.b.x2, 300) - r.b.x1, min(r.b.y2, 250) - r.b.y1
+        assert max(wide, 0) * max(high, 0) <= 0.1 * (r.b.x2 - r.b.x1) * (r.b.y2 - r.b.y1)
+
+
+def test_page_metadata(spark):
+    rows = [r.metadata for r in api.generate_records(spark, 6, 5150, difficulty="dense")[0].collect()]
+    manga, game = [m for m in rows if m.panel_art], [m for m in rows if not m.panel_art]
+    assert len(manga) == len(game) == 3 and len({m.panel_layout for m in manga}) >= 2
+    for m in manga:
+        assert m.panel_art.art_count == m.panel_noise.panel_count >= 5 and m.panel_art.color_clutter_count > 0
+        assert m.panel_art.styles == sorted(set(m.panel_art.styles)) and m.panel_art.color_palettes == sorted(set(m.panel_art.color_palettes))
+        assert {"paper_grain", "edge_shadow"} <= set(m.panel_noise.patterns) and m.bubble_count > 0 and len(m.augmentation.matrix) == 6
+        assert m.bubble_overlap_max <= 0.2
+    assert {"screentone", "hatching", "dust_scratches"} & {p for m in manga for p in m.panel_noise.patterns}
+    assert all(m.scene_actor_count > 0 for m in game)
+
+
+def test_sample_files_are_validated(spark, made, tmp_path):
+    """A data set of sample files alone: no JSON lines of views, canonical ones included."""
+    import shutil
+
+    out = tmp_path / "set"
+    shutil.copytree(made[0], out)
+    for view in files.VIEWS:
+        shutil.rmtree(out / f"annotations/{view}.jsonl")
+    got = api.validate_dataset(spark, str(out))
+    assert got["error_count"] == 0 and got["sample_count"] == 4 and got["language_counts"] == made[1]["validation"]["language_counts"]
+    ocr = out / "annotations/ocr/game_000001.json"
+    ocr.write_text(json.dumps([{**x, "bbox_2d": [1.5, 2, 3, 4]} for x in json.loads(ocr.read_text())][:1]))
+    (out / "annotations/trans/manga_000000.json").unlink()
+    for crc in out.rglob(".*.crc"):
+        crc.unlink()
+    errors = api.validate_dataset(spark, str(out))["errors"]
+    assert errors == ["manga_000000:trans: expected list", "manga_000000: output line counts differ", "game_000001:ocr[1]: invalid bbox_2d [1.5, 2, 3, 4]", "game_000001: output line counts differ"]
+
+
+def test_append_keeps_lines(spark, tmp_path):
+    rows = spark.createDataFrame([('{"id": 1}',)], "value string")
+    files.write_jsonl(rows, "value", str(tmp_path / "x.jsonl"))
+    files.write_jsonl(rows, "value", str(tmp_path / "x.jsonl"), append=True)
+    assert files.read_jsonl(spark, str(tmp_path / "x.jsonl")).count() == 2
+
+
+def test_provider_of_the_session(spark, tmp_path):
+    spark.conf.set("glyphmill.content.provider", "nobody")
+    try:
+        with pytest.raises(ValueError):
+            api.generate_dataset(spark, str(tmp_path), 1)
+    finally:
+        spark.conf.unset("glyphmill.content.provider")
