@@ -35,12 +35,22 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/glyphmill-{uuid.uuid4().hex}"
 
 
+#: Spark then drops a query's shuffle files at its end, without waiting for the driver's garbage collection.
+_CLEAN = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, made: list[str] | None = None) -> DataFrame:
-    """df written as Parquet in the shared folder and read again: cuts the lineage and survives lost executors.
+    """df written as Parquet in the shared folder and read again: cuts the lineage and survives lost executors. The
+    shuffle files of the write go as soon as it is done.
 
     made: gets the folder's name, for discard once nothing reads it any more."""
-    path = shared_dir(df.sparkSession)
-    df.write.parquet(path)
+    path, conf = shared_dir(df.sparkSession), df.sparkSession.conf
+    before = conf.get(_CLEAN, None)
+    conf.set(_CLEAN, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.unset(_CLEAN) if before is None else conf.set(_CLEAN, before)
     if made is not None:
         made.append(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

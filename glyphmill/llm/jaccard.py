@@ -552,12 +552,17 @@ def verified(percent: int):
 
 
 def candidates(parts: DataFrame, buckets: int, percent: int, made: list[str]) -> DataFrame:
-    """Pairs (u, v) of nodes of different components that may link."""
+    """Pairs (u, v) of nodes of different components that may link. What parts ask is as large as the parts; answers are
+    written, so that it is gone from the disk before the parts are shuffled."""
     asked = parts.select("part", "root", *[f"c{k}" for k in range(ORDERS)], *[f"p{k}" for k in range(ORDERS)]).mapInArrow(trimmed(asks(buckets)), ASKS)
-    heard = asked.groupBy("bucket").applyInArrow(answers, "part bigint, bucket int, token binary, n binary")
+    own: list[str] = []
+    heard = materialise(asked.groupBy("bucket").applyInArrow(answers, "part bigint, bucket int, token binary, n binary"), own)
+    release(parts.sparkSession)
     heard = heard.groupBy(F.col("part").alias("of")).agg(F.collect_list(F.struct("bucket", "token", "n")).alias("heard"))
     found = parts.join(heard, F.col("part") == F.col("of")).select(*PART_NAMES[1:], "heard").mapInArrow(trimmed(entries(buckets)), ENTRIES)
-    return materialise(found.groupBy("bucket").applyInArrow(candidate_pairs(percent), "u bigint, v bigint").distinct(), made)
+    pairs = materialise(found.groupBy("bucket").applyInArrow(candidate_pairs(percent), "u bigint, v bigint").distinct(), made)
+    discard(parts.sparkSession, own)
+    return pairs
 
 
 def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> DataFrame:
@@ -578,11 +583,14 @@ def join(docs: DataFrame, shingle: int = SHINGLE, percent: int = PERCENT) -> Dat
     known = nodes.select("digest", "node").join(likely, "node", "left").select("digest", "node", F.coalesce("root", "node").alias("root"))
     prefixes = [f"p{k}" for k in range(ORDERS)]
     rows = some.select("digest", "n", "map", *prefixes).dropDuplicates(["digest"]).join(known, "digest").select("node", "n", "root", "map", *prefixes)
-    parts = materialise(rows.mapInArrow(trimmed(part_rows), PART_ROWS), made)
+    in_parts: list[str] = []
+    parts = materialise(rows.mapInArrow(trimmed(part_rows), PART_ROWS), in_parts)
     discard(spark, wide)
     del some, rows, signed
     release(spark)
     pairs = candidates(parts, buckets, percent, made)
+    discard(spark, in_parts)
+    del parts
     release(spark)
     asked = pairs.select(F.col("u").alias("node")).union(pairs.select("v")).distinct().join(nodes.select("node", "digest"), "node")
     sets = materialise(sets_of(docs, asked, shingle), made)

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from glyphmill.llm import components, html, html_samples, jaccard, queries, substrings, toxicity, units
+from glyphmill.llm import common, components, html, html_samples, jaccard, queries, substrings, toxicity, units
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -283,6 +283,37 @@ def test_edited_copies(spark):
     assert got == brute_classes(docs, 4, 85)
 
 
+def shuffle_bytes(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return sum(files.apply(i).length() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_"))
+
+
+def test_materialise_leaves_no_shuffle_files(spark):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    df, before = spark.range(50_000).selectExpr("id % 9999 as k", "uuid() as u").repartition(5, "k"), spark.conf.get(key, None)
+    common.release(spark)
+    at = shuffle_bytes(spark)
+    assert common.materialise(df).count() == 50_000
+    assert shuffle_bytes(spark) < at + 100_000 and spark.conf.get(key, None) == before  # written: some 2 MB
+
+
+def test_parts_are_shuffled_after_asks(spark, monkeypatch):
+    """What parts ask is as large as the parts; no write has both in its shuffles."""
+    r, plans, write = random.Random(41), [], common.materialise
+    docs = [(i, " ".join(f"v{r.randint(0, 3000)}" for _ in range(300))) for i in range(400)]
+    docs += [(1000 + i, f"{t} end") for i, t in docs[:200]]
+
+    def watched(df, made=None):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return write(df, made)
+
+    for module in (jaccard, components):
+        monkeypatch.setattr(module, "materialise", watched)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert jaccard.join(df, 5, 80).select("root").distinct().count() == 400
+    assert max(p.count("FlatMapGroupsInArrow") for p in plans) == 1
+
+
 def test_deduplicated_keeps_one_row_a_component(spark):
     """Null and equal doc_ids: only rows of one component, or equal in all columns, are one."""
     r = random.Random(31)
