@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, RangeHash, slices, text_bytes, trimmed, words_of
+from .common import LOWER, RangeHash, slices, text_bytes, trim, trimmed, words_of
 
 TRAIN_TOXIC, TRAIN_CLEAN, TRAIN_BYTES = 1600, 3200, 12 << 20
 #: A mark stands in at least so many training documents that nothing else explains ...
@@ -138,17 +138,19 @@ def token_marks(feats: np.ndarray, doc: np.ndarray, toxic: np.ndarray) -> np.nda
 
 
 def train(texts: pa.Array, toxic: np.ndarray) -> dict:
-    """weights (hashed), trans (2 x 2), head (3 numbers): all that scoring needs."""
-    data, offsets = text_bytes(texts)
-    start, end, doc = words_of(data, offsets)
-    lengths = np.bincount(doc, minlength=len(toxic))
-    feats = features(data, start, end)
+    """weights (hashed), trans (2 x 2), head (3 numbers): all that scoring needs. Runs in the driver: what is large is made
+    from slices of the texts, so that beside the features only a slice's hashes and marginals are held."""
+    feats, lengths = zip(*map(_words, slices(pa.record_batch([texts], ["text"]), 0)))
+    cuts = np.cumsum([0, *map(len, lengths)])  # of the slices, in texts
+    feats, lengths = np.concatenate(feats), np.concatenate(lengths)
+    ends = np.concatenate(([0], np.cumsum(lengths)))
+    doc = np.repeat(np.arange(len(lengths), dtype=np.int32), lengths)
     marked = np.zeros(1 << BITS, bool)
     marked[token_marks(feats, doc, toxic)] = True
     y = (marked[feats].any(1) & toxic[doc]).astype(np.int8)
     # Chunks of CHUNK words: all that have a toxic word, and others as a sample of clean context.
-    place = np.arange(len(doc)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
-    _, chunk = np.unique(doc.astype(np.int64) * (1 << 32) + place // CHUNK, return_inverse=True)
+    place = ((np.arange(len(doc)) - ends[doc]) % CHUNK).astype(np.int8)
+    chunk = np.cumsum(place == 0, dtype=np.int32) - 1
     hit = np.bincount(chunk, weights=y) > 0
     random = np.random.default_rng(SEED)
     use = np.zeros(len(hit), bool)
@@ -156,7 +158,7 @@ def train(texts: pa.Array, toxic: np.ndarray) -> dict:
         use[random.permutation(np.flatnonzero(kind))[:most]] = True
     rows = np.flatnonzero(use[chunk])
     _, r = np.unique(chunk[rows], return_inverse=True)
-    n, c = int(r.max()) + 1 if len(r) else 0, place[rows] % CHUNK
+    n, c = int(r.max()) + 1 if len(r) else 0, place[rows]
     x = np.zeros((n, CHUNK, feats.shape[1]), np.int32)
     lab, real = np.zeros((n, CHUNK), np.int8), np.zeros((n, CHUNK), bool)
     x[r, c], lab[r, c], real[r, c] = feats[rows], y[rows], True
@@ -179,10 +181,18 @@ def train(texts: pa.Array, toxic: np.ndarray) -> dict:
         trans += 0.3 * tgrad / np.sqrt(t2)
     w[0] = 0
     model = {"weights": w.astype(np.float32), "trans": trans, "head": np.zeros(3)}
-    model["head"] = _logistic(summaries(w[feats].sum(1), trans, doc, lengths)[0], toxic)
+    parts = [summaries(w[feats[ends[a] : ends[b]]].sum(1), trans, doc[ends[a] : ends[b]] - np.int32(a), lengths[a:b])[0] for a, b in zip(cuts, cuts[1:])]
+    model["head"] = _logistic(np.concatenate(parts), toxic)
     return model
 
 
+def _words(part: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    """Features of all words of some texts, and how many words each text has."""
+    data, offsets = text_bytes(part.column(0))
+    start, end, doc = words_of(data, offsets)
+    return features(data, start, end), np.bincount(doc, minlength=part.num_rows)
+
+
 def _expectations(u: np.ndarray, trans: np.ndarray, real: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """P(toxic) of each word of padded chunks, and expected transitions."""
     n, length = u.shape
@@ -289,7 +299,12 @@ def fit(docs: DataFrame, labels: DataFrame) -> dict | None:
     asked = docs.sparkSession.createDataFrame(list(zip(np.array(found["doc_id"])[take].tolist(), np.array(found["key"])[take].tolist(), most.tolist(), toxic[take].tolist())), "t_id bigint, t_key bigint, most bigint, t_toxic boolean")
     same = (F.col("doc_id") == F.col("t_id")) & (F.xxhash64("text") == F.col("t_key"))
     table = labelled.join(F.broadcast(asked), same).select("doc_id", F.expr("substring(text, 1, int(most))").alias("text"), "t_toxic").dropDuplicates(["doc_id"]).toArrow().sort_by("doc_id")
-    return train(pa.concat_arrays(table["text"].chunks), np.array(table["t_toxic"].to_pylist(), bool))
+    texts, toxic = pa.concat_arrays(table["text"].chunks), np.array(table["t_toxic"].to_pylist(), bool)
+    del table, found
+    try:
+        return train(texts, toxic)
+    finally:
+        trim()
 
 
 def score(docs: DataFrame, labels: DataFrame) -> DataFrame:

@@ -4,6 +4,7 @@ import collections
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 
 import numpy as np
@@ -420,6 +421,24 @@ def test_toxicity_repeated_labelled_rows(spark):
     assert toxicity.score(d, l).count() == len(docs) + 42
 
 
+def test_toxicity_training_memory(monkeypatch):
+    """The driver trains: it holds some bytes a byte of text, and slices give the model that the whole text gives."""
+    monkeypatch.setattr(common, "_POWERS", {})
+    monkeypatch.setattr(toxicity, "STEPS", 3)
+    r = random.Random(17)
+    words = ["".join(r.choice("abcdefghij") for _ in range(r.randint(2, 9))) for _ in range(5000)]
+    docs = [" ".join(r.choices(words, k=r.randint(0, 1200)) + ["nastyword"] * (i % 5 == 0)) for i in range(1500)]
+    texts, toxic = pa.array([*docs, None, ""]), np.array([i % 5 == 0 for i in range(1500)] + [True, False])
+    tracemalloc.start()
+    model = toxicity.train(texts, toxic)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 28 * sum(map(len, docs))
+    monkeypatch.setattr(toxicity, "slices", lambda batch, text: [batch])
+    whole = toxicity.train(texts, toxic)
+    assert all(np.array_equal(model[k], whole[k]) for k in whole)
+
+
 def test_toxicity_long_documents(spark, monkeypatch):
     """Labelled documents beyond the training's room don't end the sample."""
     docs, labels = toxic_corpus(300)
