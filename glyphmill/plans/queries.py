@@ -177,30 +177,42 @@ _PAIR_SQL = f"""WITH b AS (SELECT p_partkey, p_size, {WHOLE_SQL} FROM part)
     FROM b a JOIN b c ON a.p_size = c.p_size AND a.p_partkey < c.p_partkey"""
 
 
-#: Boxes of a page meet in cells of about the largest box's size, so only neighbours are compared.
-CELL = 110
+#: Boxes of a page meet in cells of about the largest box's size, so only neighbours are compared; the boxes of a full
+#: cell meet in blocks of about so many, which is all that a task holds of it at once.
+CELL, BLOCK = 110, 2048
 
 
-def _pairs(spark, d):
-    """Pairs of boxes of a page that overlap, each once: in the cell that holds the corner of what they share."""
-    b = whole_boxes(spark, d).select("p_partkey", "p_size", "b")
-    cells = lambda low, high: F.sequence(F.floor(F.col(f"b.{low}") / CELL), F.floor((F.col(f"b.{high}") - 1) / CELL))
-    b = b.withColumn("cx", F.explode(cells("x1", "x2"))).withColumn("cy", F.explode(cells("y1", "y2")))
-    a, c = b.alias("a"), b.alias("c")
-    same = (F.col("a.p_size") == F.col("c.p_size")) & (F.col("a.cx") == F.col("c.cx")) & (F.col("a.cy") == F.col("c.cy")) & (F.col("a.p_partkey") < F.col("c.p_partkey"))
-    corner = (F.floor(F.greatest("a.b.x1", "c.b.x1") / CELL) == F.col("a.cx")) & (F.floor(F.greatest("a.b.y1", "c.b.y1") / CELL) == F.col("a.cy"))
-    return a.join(c, same & corner).select("a.p_size", F.col("a.p_partkey").alias("a_key"), F.col("c.p_partkey").alias("b_key"), G.overlap(F.col("a.b"), F.col("c.b")).alias("o")).filter("o > 0")
+def _page_boxes(spark, d):
+    return whole_boxes(spark, d).filter("p_partkey IS NOT NULL AND p_size IS NOT NULL").select("p_size", F.col("p_partkey").alias("k"), "b.*")
+
+
+def _pairs(b):
+    """Pairs of boxes (p_size, k, x1, y1, x2, y2) of a page that overlap, each once: in the cell that holds the corner of
+    what they share. Work goes with the pairs, not with the bytes, so the partitions are many and aren't coalesced."""
+    spark, cell = b.sparkSession, ["p_size", "cx", "cy"]
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    spread = lambda low, high: F.explode(F.sequence(F.floor(F.col(low) / CELL), F.floor((F.col(high) - 1) / CELL)))
+    b = b.filter("x1 < x2 AND y1 < y2").withColumn("cx", spread("x1", "x2")).withColumn("cy", spread("y1", "y2"))
+    b = b.join(b.groupBy(*cell).agg(F.ceil(F.count("*") / BLOCK).alias("blocks")), cell)
+    a = b.withColumn("block", F.pmod(F.xxhash64("k"), "blocks")).repartition(parts, *cell, "block").alias("a")
+    c = b.withColumn("block", F.explode(F.sequence(F.lit(0).cast(BIG), F.col("blocks") - 1))).repartition(parts, *cell, "block").alias("c")
+    same = (F.col("a.k") < F.col("c.k")) & F.expr(" AND ".join(f"a.{x} = c.{x}" for x in (*cell, "block")))
+    meet = F.expr("a.x1 < c.x2 AND c.x1 < a.x2 AND a.y1 < c.y2 AND c.y1 < a.y2")
+    corner = (F.floor(F.greatest("a.x1", "c.x1") / CELL) == F.col("a.cx")) & (F.floor(F.greatest("a.y1", "c.y1") / CELL) == F.col("a.cy"))
+    side = lambda n: G.box(*[F.col(f"{n}.{x}") for x in G.FIELDS])
+    # A merge join holds the rows of its right side that have one key: a block.
+    return c.join(a.hint("merge"), same & meet & corner).select("a.p_size", F.col("a.k").alias("a_key"), F.col("c.k").alias("b_key"), G.overlap(side("a"), side("c")).alias("o"))
 
 
 @query(f"SELECT a_key, b_key, round(o, 6) AS overlap FROM ({_PAIR_SQL}) WHERE o > 0")
 def q11_overlap_pairs(spark, d):
-    return _pairs(spark, d).select("a_key", "b_key", F.round("o", 6).alias("overlap"))
+    return _pairs(_page_boxes(spark, d)).select("a_key", "b_key", F.round("o", 6).alias("overlap"))
 
 
 @query(f"SELECT p_size, round(max(o), 6) AS max_overlap FROM ({_PAIR_SQL}) GROUP BY p_size")
 def q12_max_overlap_per_page(spark, d):
     pages = read(spark, d, "part").groupBy("p_size").agg(F.count("*").alias("n")).filter("n > 1").select("p_size")
-    found = _pairs(spark, d).groupBy("p_size").agg(F.round(F.max("o"), 6).alias("max_overlap"))
+    found = _pairs(_page_boxes(spark, d)).groupBy("p_size").agg(F.round(F.max("o"), 6).alias("max_overlap"))
     return pages.join(found, "p_size", "left").select("p_size", F.coalesce("max_overlap", F.lit(0.0)).alias("max_overlap"))
 
 
