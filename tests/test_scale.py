@@ -40,3 +40,11 @@ def test_overlap_pairs_are_dealt_out(spark, pages, monkeypatch):
     df = entry.queries()["q11_overlap_pairs"](spark, pages)
     assert df.rdd.getNumPartitions() >= wide
     assert "SortMergeJoin" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pages_with_boxes_in_each_other_need_no_pairs(spark, pages, monkeypatch):
+    assert same(spark, pages, "q12_max_overlap_per_page", "part") == 2
+    seen, pairs = [], plans._pairs
+    monkeypatch.setattr(plans, "_pairs", lambda b, *rest: seen.append(b) or pairs(b, *rest))
+    entry.queries()["q12_max_overlap_per_page"](spark, pages)
+    assert {r.p_size for r in seen[0].collect()} == {2, 3}
