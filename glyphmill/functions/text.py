@@ -12,6 +12,11 @@ from ..constants import CONTENT_SCHEMA_VERSION
 _SPACE = r"\s\x1C-\x1F\x85"
 
 
+def bound(value: Column, use) -> Column:
+    """use(value), with the value made once; inside a function of array items each mention would make it anew."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
 def fold(text: Column) -> Column:
     """Case folding as far as built-in functions go (upper then lower; ß becomes ss)."""
     return F.lower(F.upper(text))

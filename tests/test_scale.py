@@ -4,6 +4,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as entry
+from glyphmill.operators import validate
 from glyphmill.plans import queries as plans
 
 
@@ -48,3 +49,17 @@ def test_pages_with_boxes_in_each_other_need_no_pairs(spark, pages, monkeypatch)
     monkeypatch.setattr(plans, "_pairs", lambda b, *rest: seen.append(b) or pairs(b, *rest))
     entry.queries()["q12_max_overlap_per_page"](spark, pages)
     assert {r.p_size for r in seen[0].collect()} == {2, 3}
+
+
+def test_samples_are_checked_once_a_part_in_many_tasks(spark, tmp_path):
+    """A part that is there twice is two samples; a single small file is no single task."""
+    d = parts(tmp_path, "SELECT i AS k, 1 AS s FROM range(200) r(i)", "SELECT 8 * i, 1 FROM range(20) r(i)")
+    assert same(spark, d, "q47_sample_errors", "part") > 0
+    assert entry.queries()["q47_sample_errors"](spark, d).rdd.getNumPartitions() >= 8 * spark.sparkContext.defaultParallelism
+
+
+def test_a_view_is_taken_apart_once(spark):
+    """What a check costs goes with the times a value's schema is read: one for each value that is looked at."""
+    samples = spark.range(1).selectExpr("id AS sample_ord", "'s' AS id", "'i' AS image", "9 AS width", "9 AS height", *[f"string(id) AS {x}" for x in ("vlm", "ocr", "trans", "canonical")])
+    plan = validate.sample_errors(samples)._jdf.queryExecution().analyzed().toString()
+    assert 0 < plan.count("schema_of_variant(") < 20  # 551 when each condition read them anew
