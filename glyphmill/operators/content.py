@@ -67,15 +67,16 @@ def _tables(spark: SparkSession) -> tuple[DataFrame, DataFrame]:
     return templates, words
 
 
-def composed(slots: DataFrame, at: Column) -> DataFrame:
-    """Fill a drawn template for each row (seed, kind); at tells draws of one seed apart. Tables of some dozens of rows are broadcast."""
+def composed(slots: DataFrame, at: Column, how: str = "inner") -> DataFrame:
+    """Fill a drawn template for each row (seed, kind); at tells draws of one seed apart. Tables of some dozens of rows are
+    broadcast. With how="left" rows without a kind stay."""
     templates, words = _tables(slots.sparkSession)
     seed = F.col("seed")
     sizes = F.create_map(*[x for k, rows in banks.TEMPLATES.items() for x in (F.lit(k), F.lit(len(rows)))])
     named = lambda n: F.broadcast(words.filter(F.col("name") == n).select(F.col("i").alias(n), F.col("value").alias(f"{n}_s"), F.col("value_vi").alias(f"{n}_t")))
     s = slots.withColumns({"t": D.draw(F.element_at(sizes, F.col("kind")), seed, "template", at), "hero": D.draw(len(banks.BANKS["hero"]), seed, "hero", at), "place": D.draw(len(banks.BANKS["place"]), seed, "place", at),
                            "current": D.between(18, 180, seed, "current", at), "max": D.between(190, 320, seed, "max", at), "level": D.between(2, 48, seed, "level", at), "combo": D.between(2, 9, seed, "combo", at)})
-    s = s.join(F.broadcast(templates), ["kind", "t"]).join(named("hero"), "hero").join(named("place"), "place")
+    s = s.join(F.broadcast(templates), ["kind", "t"], how).join(named("hero"), "hero", how).join(named("place"), "place", how)
 
     def filled(text: str, side: str) -> Column:
         out = F.col(text)
@@ -89,7 +90,7 @@ def composed(slots: DataFrame, at: Column) -> DataFrame:
 
 
 def has_action_word(text: Column) -> Column:
-    return X.contains_any(X.fold(text), ACTION_WORDS)
+    return X.bound(X.fold(text), lambda folded: X.contains_any(folded, ACTION_WORDS))
 
 
 def _filled_rows(kind: str, seed: Column, at: Column) -> list[Column]:
@@ -118,18 +119,24 @@ def restyled(text: Column, kind: Column, seed: Column, at: Column) -> Column:
 FEW, ATTEMPTS = 4, 40
 
 
-def _folded(made: DataFrame, count: int, attempts: int) -> DataFrame:
-    """made (sample_id, seed, category, kinds) with items, out of attempts for each kind of the sequence, in order."""
+def _folded(made: DataFrame, count: int, attempts: int, wanting: Column | None = None) -> DataFrame:
+    """made (sample_id, seed, category, kinds) with items, out of attempts for each kind of the sequence, in order. With
+    wanting, rows that have items already, and only those for which it holds get others.
+
+    made is dealt out by sample_id, so that the attempts of a sample meet where they are made."""
     slots = F.flatten(F.transform("kinds", lambda k, i: F.transform(F.sequence(F.lit(0), F.lit(attempts - 1)), lambda a: F.struct((i * ATTEMPTS + a).alias("attempt"), k.alias("kind")))))
-    flat = made.select("sample_id", "seed", "category", "kinds", F.explode(slots).alias("x")).select("sample_id", "seed", "category", "kinds", "x.*")
-    tried = composed(flat, F.concat(F.lit("a"), F.col("attempt").cast("string")))
-    ok = ~has_action_word(F.col("text")) & ~has_action_word(F.col("translated_text"))
-    tries = F.array_sort(F.collect_list(F.when(ok, F.struct("attempt", "text", "translated_text", "kind"))))
-    tried = tried.groupBy("sample_id", "seed", "category", "kinds").agg(tries.alias("tries"))
-    slim = lambda a: F.struct(a["text"].alias("text"), a["translated_text"].alias("translated_text"), a["kind"].alias("kind"))
-    none = F.array().cast(T.ArrayType(ITEM))
-    wanted = lambda got, a: (F.size(got) < count) & (F.get("kinds", F.size(got)) == a["kind"]) & ~_known(got, a)
-    return tried.withColumn("items", F.aggregate("tries", none, lambda got, a: F.when(wanted(got, a), F.concat(got, F.array(slim(a)))).otherwise(got))).drop("tries")
+    keep = ["kinds"] if wanting is None else ["kinds", "items"]
+    slots = slots if wanting is None else F.when(wanting, slots)
+    flat = made.select("sample_id", "seed", "category", *keep, F.explode_outer(slots).alias("x")).select("sample_id", "seed", "category", *keep, "x.*")
+    tried = composed(flat, F.concat(F.lit("a"), F.col("attempt").cast("string")), "left").withColumns({"known": X.fold(F.col("text")), "known_t": X.fold(F.col("translated_text"))})
+    ok = ~X.contains_any(F.col("known"), ACTION_WORDS) & ~X.contains_any(F.col("known_t"), ACTION_WORDS)
+    tries = F.array_sort(F.collect_list(F.when(ok, F.struct("attempt", "text", "translated_text", "kind", "known"))))
+    tried = tried.groupBy("sample_id", "seed", "category").agg(*[F.first(k).alias(k) for k in keep], tries.alias("tries"))
+    none = F.filter("tries", lambda a: F.lit(False))
+    wanted = lambda got, a: (F.size(got) < count) & (F.get("kinds", F.size(got)) == a["kind"]) & ~F.exists(got, lambda g: g["known"] == a["known"])
+    taken = F.aggregate("tries", none, lambda got, a: F.when(wanted(got, a), F.concat(got, F.array(a))).otherwise(got))
+    items = F.transform(taken, lambda a: F.struct(a["text"].alias("text"), a["translated_text"].alias("translated_text"), a["kind"].alias("kind")))
+    return tried.withColumn("items", items if wanting is None else F.when(wanting, items).otherwise(F.col("items"))).drop("tries")
 
 
 def _known(got: Column, a: Column) -> Column:
@@ -144,16 +151,18 @@ def fallback_items(rows: DataFrame, count: int) -> DataFrame:
     leave short are folded again with all of them, which gives the others the same. What is still missing comes from the
     library of all templates' plain sentences, in drawn order, restyled.
     """
-    made = rows.select("sample_id", "seed", "category", kind_sequence(F.col("category"), F.col("seed"), count).alias("kinds"))
+    spark = rows.sparkSession  # work goes with the attempts, so slim rows are dealt out widely first
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), 8 * spark.sparkContext.defaultParallelism)
+    made = rows.select("sample_id", "seed", "category").repartition(parts, "sample_id").withColumn("kinds", kind_sequence(F.col("category"), F.col("seed"), count))
     few = _folded(made, count, FEW)
     short = F.size("items") < count
-    tried = few.filter(~short).unionByName(_folded(few.filter(short).drop("items"), count, ATTEMPTS))
+    tried = _folded(few, count, ATTEMPTS, short)
     library = F.array(*[F.struct(F.lit(s.replace("{hero}", "Mira").replace("{place}", "the orchard")).alias("text"), F.lit(t.replace("{hero}", "Mira").replace("{place}", "vườn cây")).alias("translated_text")) for k in ("dialogue", "whisper", "narration") for s, t in banks.TEMPLATES[k]])
     kinds = F.when(F.col("category") == "manga", F.array(*[F.lit(k) for k in KINDS["manga"]])).otherwise(F.array(*[F.lit(k) for k in KINDS["game"]]))
     extra = F.transform(D.shuffled(library, F.col("seed"), "library"), lambda s, i: F.struct(s["text"].alias("text"), s["translated_text"].alias("translated_text"), F.element_at(kinds, (F.pmod(i + F.col("seed"), F.size(kinds)) + 1).cast("int")).alias("kind"), i.alias("i")))
     unseen = F.filter(extra, lambda e: ~_known(F.col("items"), e))
-    styled = F.transform(unseen, lambda e: F.struct(restyled(e["text"], e["kind"], F.col("seed"), e["i"]).alias("text"), e["translated_text"].alias("translated_text"), e["kind"].alias("kind")))
-    topped = F.concat("items", F.slice(styled, F.lit(1), F.greatest(F.lit(count) - F.size("items"), F.lit(0))))
+    styled = F.transform(F.slice(unseen, F.lit(1), F.lit(count) - F.size("items")), lambda e: F.struct(restyled(e["text"], e["kind"], F.col("seed"), e["i"]).alias("text"), e["translated_text"].alias("translated_text"), e["kind"].alias("kind")))
+    topped = F.when(short, F.concat("items", styled)).otherwise(F.col("items"))  # the library is for the few that need it
     return tried.select("sample_id", "seed", "category", topped.alias("items"))
 
 

@@ -2,9 +2,10 @@
 
 import duckdb
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
-from glyphmill.operators import validate
+from glyphmill.operators import content, validate
 from glyphmill.plans import queries as plans
 
 
@@ -63,3 +64,24 @@ def test_a_view_is_taken_apart_once(spark):
     samples = spark.range(1).selectExpr("id AS sample_ord", "'s' AS id", "'i' AS image", "9 AS width", "9 AS height", *[f"string(id) AS {x}" for x in ("vlm", "ocr", "trans", "canonical")])
     plan = validate.sample_errors(samples)._jdf.queryExecution().analyzed().toString()
     assert 0 < plan.count("schema_of_variant(") < 20  # 551 when each condition read them anew
+
+
+def test_attempts_are_made_once_and_stay_where_they_are(spark, sf):
+    """Attempts of a sample are some fifty rows: they are made once for all samples, and meet without a shuffle."""
+    df = entry.queries()["q50_fallback_items"](spark, sf)
+    plan = df._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Generate ") == 2  # a few attempts, and more for those that they leave short
+    made = content.fallback_items(content.samples(spark, 5, 1), 12)
+    below = made._jdf.queryExecution().executedPlan().toString()
+    assert below.count("Exchange hashpartitioning") == 1 and made.rdd.getNumPartitions() >= 8 * spark.sparkContext.defaultParallelism
+
+
+def test_samples_that_few_attempts_leave_short_get_all(spark, monkeypatch):
+    rows = content.samples(spark, 80, 77)
+    made = rows.withColumn("kinds", content.kind_sequence(F.col("category"), F.col("seed"), 12))
+    items = lambda df: {r.sample_id: [tuple(x) for x in r["items"]] for r in df.collect()}
+    few, full = (items(content._folded(made, 12, n)) for n in (1, content.ATTEMPTS))
+    monkeypatch.setattr(content, "FEW", 1)
+    got = items(content.fallback_items(rows, 12))
+    short = {k for k, x in few.items() if len(x) < 12}
+    assert short and got == {k: full[k] if k in short else few[k] for k in got} and len(got) == 80
